@@ -63,15 +63,16 @@ def wire_log(spark, sf, wrapped=True):
     tomb = F.explode(
         F.when(F.col("op") == "d", F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     )
-    return change.select(
+    encoded = change.select(
         F.lit("aw.shop.public.events").alias("topic"),
         "partition",
         (F.col("seq") * 2).alias("offset"),
         F.col("ts").alias("timestamp"),
         key.alias("key"),
         body.alias("value"),
-        tomb.alias("t"),
-    ).select(
+        "op",
+    )
+    return encoded.withColumn("t", tomb).select(
         "topic",
         "partition",
         (F.col("offset") + F.col("t").cast("long")).alias("offset"),
@@ -83,7 +84,7 @@ def wire_log(spark, sf, wrapped=True):
 
 _WIRE_SQL = f"""{IMAGES_SQL}, wire AS (
   SELECT partition, seq * 2 AS "offset", FALSE AS is_tombstone, pk, op, seq, before_value, after_value,
-         epoch_ms(ts) AS ts_ms FROM images
+         epoch_us(ts) // 1000 AS ts_ms FROM images
   UNION ALL
   SELECT partition, seq * 2 + 1, TRUE, pk, NULL, seq, NULL, NULL, NULL FROM images WHERE op = 'd')"""
 

@@ -32,25 +32,24 @@ def multiply_rows_keyed(spark, sf):
 
 
 @query(f"""WITH raw AS (
-  SELECT o_orderkey AS i,
-    CAST(1 + CAST({seeded_sql('o_orderkey', 'price0')} % 35000000 AS DECIMAL(12,0)) / 10000 AS DECIMAL(19,4)) AS p,
-    CAST({seeded_sql('o_orderkey', 'discount0')} % 4000 AS DECIMAL(12,0)) / 10000 AS d,
-    {seeded_sql('o_orderkey', 'modified0')} % 94608000 AS back, md5('guid0:' || o_orderkey) AS h FROM orders),
-rows AS (
-  SELECT i, p AS unit_price, CASE WHEN i % 10 = 0 THEN CAST(d AS DECIMAL(19,4)) ELSE 0 END AS discount, back, h FROM raw)
+  SELECT o_orderkey AS i, {seeded_sql('o_orderkey', 'price0')} % 35000000 + 10000 AS p,
+    CASE WHEN o_orderkey % 10 = 0 THEN {seeded_sql('o_orderkey', 'discount0')} % 4000 ELSE 0 END AS d,
+    {seeded_sql('o_orderkey', 'modified0')} % 94608000 AS back, md5('guid0:' || o_orderkey) AS h FROM orders)
 SELECT i AS detail_id, i % 100000 + 1 AS order_id,
   lpad(CAST(i % 99999 AS VARCHAR), 8, '0') || '-' || lpad(CAST(i % 999 AS VARCHAR), 4, '0') AS tracking,
   CAST(i % 44 + 1 AS SMALLINT) AS qty, CAST(i % 516 + 1 AS INTEGER) AS product_id, CAST(i % 16 + 1 AS INTEGER) AS offer_id,
-  round(CAST(unit_price AS DOUBLE), 4) AS unit_price, round(CAST(discount AS DOUBLE), 4) AS discount,
+  p / 10000.0::DOUBLE AS unit_price, d / 10000.0::DOUBLE AS discount,
   substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS rowguid,
   TIMESTAMP '2026-01-01 00:00:00' - to_seconds(back) AS modified,
-  round(CAST((i % 44 + 1) AS DOUBLE) * CAST(unit_price AS DOUBLE) * (1 - CAST(discount AS DOUBLE)), 3) AS line_total
-FROM rows""")
+  ((i % 44 + 1) * p * (10000 - d) + 50) // 100 AS line_total_micros
+FROM raw""")
 def gen_order_details(spark, sf):
     rows = G.gen_order_details(table(spark, sf, "orders"), key="o_orderkey")
     return rows.select(
         "detail_id", "order_id", "tracking", "qty", "product_id", "offer_id", "rowguid", "modified",
-        *rounded("unit_price", "discount", digits=4), *rounded("line_total", digits=3),
+        F.col("unit_price").cast("double").alias("unit_price"),
+        F.col("discount").cast("double").alias("discount"),
+        (F.col("line_total") * 1_000_000).cast("long").alias("line_total_micros"),
     )
 
 

@@ -140,7 +140,7 @@ _CELLS = [f"{c}_{m}" for c in CASES for m in ("cpu_pct", "mem_mb")]
 def _cell_sql(c, m):
     positive = "AND user_id % 2 <> 0" if m == "cpu_pct" else ""
     return (
-        f"coalesce(avg(CAST(value AS DECIMAL(18,2))) FILTER (event_type = '{c}' AND value > 0 {positive}), 0) AS {c}_{m}"
+        f"coalesce(avg(CAST(round(value * 100) AS BIGINT)) FILTER (event_type = '{c}' AND value > 0 {positive}), 0) AS {c}_{m}"
     )
 
 
@@ -149,11 +149,11 @@ def _cell_sql(c, m):
   FROM events GROUP BY 1)
 SELECT run, {", ".join(_score_sql(n, False).replace("_score", "") for n in _CELLS)} FROM wide""")
 def system_matrix(spark, sf):
-    exact = F.col("value").cast("decimal(18,2)")
+    cents = F.round(F.col("value") * 100).cast("long")
     samples = table(spark, sf, "events").select(
         F.col("user_id").cast("string").alias("run"),
         F.col("event_type").alias("container"),
-        F.when(F.col("user_id") % 2 == 0, 0).otherwise(exact).alias("cpu_pct"),
-        exact.alias("mem_mb"),
+        F.when(F.col("user_id") % 2 == 0, 0).otherwise(cents).alias("cpu_pct"),
+        cents.alias("mem_mb"),
     )
     return R.system_matrix(samples, ["cpu_pct", "mem_mb"], CASES).select("run", *rounded(*_CELLS))

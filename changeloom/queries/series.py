@@ -115,8 +115,8 @@ steps AS (
   SELECT event_id, lag(ts) OVER w IS NULL AS first, net_rx - lag(net_rx) OVER w AS rx, disk_write - lag(disk_write) OVER w AS dw,
     greatest(epoch_us(ts) / 1000000.0::DOUBLE - epoch_us(lag(ts) OVER w) / 1000000.0::DOUBLE, 0.001) AS dt
   FROM flat WINDOW w AS (PARTITION BY event_type ORDER BY ts))
-SELECT event_id, round(CASE WHEN first THEN 0 ELSE rx / 1048576::DOUBLE / dt END, 6) AS net_rx_mb_s,
-  round(CASE WHEN first THEN 0 ELSE dw / 1048576::DOUBLE / dt END, 6) AS disk_write_mb_s FROM steps""")
+SELECT event_id, round(CASE WHEN first THEN 0 ELSE rx / 1048576::DOUBLE / dt END, 6) + 0.0 AS net_rx_mb_s,
+  round(CASE WHEN first THEN 0 ELSE dw / 1048576::DOUBLE / dt END, 6) + 0.0 AS disk_write_mb_s FROM steps""")
 def counter_rates(spark, sf):
     flat = S.flatten_stats(_samples(spark, sf))
     return S.counter_rates(flat, ["net_rx", "disk_write"]).select(
