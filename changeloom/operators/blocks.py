@@ -35,6 +35,21 @@ def time_block(name: Key, seconds: int = 3600) -> Column:
     return F.floor(F.unix_timestamp(_col(name)) / F.lit(seconds)).cast("long")
 
 
+def range_block(df: DataFrame, name: str, rows: int = 1 << 20) -> Column:
+    """Equal slices of the range of a number, about ``rows`` rows in each.
+
+    For keys with gaps, where a fixed number of key values may hold few rows.  The
+    range and the row count come from one scalar subquery.
+    """
+    lo, hi = F.min(name).cast("double") / 2, F.max(name).cast("double") / 2
+    slices = F.ceil(F.count(name) / F.lit(rows))
+    scale = F.when(hi > lo, slices / (hi - lo)).otherwise(F.lit(0.0))
+    facts = df.select(F.struct(lo.alias("lo"), scale.alias("scale"))).scalar()
+    return F.floor(
+        (F.col(name).cast("double") / 2 - facts.getField("lo")) * facts.getField("scale")
+    ).cast("long")
+
+
 def _col(key: Key) -> Column:
     return F.col(key) if isinstance(key, str) else key
 
@@ -119,9 +134,17 @@ def _neighbour(df, by, order, block, columns, step):
     shift = F.lag if step < 0 else F.lead
     edge = F.max_by if step < 0 else F.min_by
     local = frame.withColumn("__near", shift("__picked").over(b.local))
-    edges = frame.groupBy(*b.group).agg(
-        edge("__picked", F.struct(*b.order)).alias("__edge")
-    )
+    if len(b.order) == 1:
+        # One maximum per column: Spark can hash-aggregate plain values, but has to
+        # sort for a struct.
+        kept = [edge(f"__picked.{n}", b.order[0]).alias(n) for n in columns]
+        edges = frame.groupBy(*b.group).agg(*kept).select(
+            *b.group, F.struct(*columns).alias("__edge")
+        )
+    else:
+        edges = frame.groupBy(*b.group).agg(
+            edge("__picked", F.struct(*b.order)).alias("__edge")
+        )
     carried = edges.select(*b.group, shift("__edge").over(b.across).alias("__far"))
     joined = b.carry_in(local, carried)
     near = F.coalesce("__near", "__far")

@@ -1,11 +1,11 @@
 """Exact order statistics without sorting or collecting a group.
 
-Each level splits the value range that still holds the wanted element into equal
-slices and counts rows per slice: a partial aggregation, so one group may hold
-any number of rows.  The slice that contains the element becomes the next range,
-tightened to the smallest and largest value seen in it.  The last step ranks the
-distinct values left in that range.  The answer is exact for any data; the levels
-only make the last step small.
+The first level counts rows per slice of a logarithmic scale; each further level
+splits the slice that still holds the wanted element into equal parts and counts
+again.  Counting is a partial aggregation, so one group may hold any number of rows.
+A slice is tightened to the smallest and largest value seen in it.  The last step
+ranks the distinct values left.  The answer is exact for any data; the levels only
+make the last step small.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from .joins import salted_join
 
+# Slices per unit of the logarithm in the first level, and per range in the others.
+LOG_SLICES = 1_024
 SLICES = 65_536
 TARGET_SALTS = 64
 
@@ -54,21 +56,8 @@ def order_statistics(
     """
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v"))
-    sizes = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
-    )
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(name).alias("stat"), rank(F.col("n")).alias("at"))
-                for name, rank in ranks.items()
-            ]
-        )
-    )
-    targets = sizes.select(*by, "n", "__lo", "__hi", wanted.alias("__w")).select(
-        *by, "n", "__lo", "__hi", F.col("__w.stat").alias("__stat"), F.col("__w.at").alias("__at")
-    )
-    for _ in range(levels):
+    targets = _first_level(rows, by, ranks)
+    for _ in range(levels - 1):
         targets = _narrow(rows, targets, by)
     final = _in_range(rows, targets, by).groupBy(*by, "__stat", "__v").agg(
         F.count(F.lit(1)).alias("__c"), F.first("n").alias("n"), F.first("__at").alias("__at")
@@ -83,6 +72,47 @@ def order_statistics(
     )
 
 
+def _first_level(rows, by, ranks):
+    """The slice of each wanted element, for all ranks from one count of the rows."""
+    v = F.col("__v").cast("double")
+    slice_no = F.signum(v) * F.floor(F.log1p(F.abs(v)) * LOG_SLICES)
+    counts = (
+        rows.withColumn("__slice", slice_no.cast("int"))
+        .groupBy(*by, "__slice")
+        .agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    )
+    group = W.partitionBy(*by)
+    running = counts.select(
+        *by,
+        "__lo",
+        "__hi",
+        "__c",
+        F.sum("__c").over(group).alias("n"),
+        F.sum("__c")
+        .over(group.orderBy("__slice").rowsBetween(W.unboundedPreceding, 0))
+        .alias("__upto"),
+    )
+    wanted = [
+        F.struct(F.lit(name).alias("stat"), rank(F.col("n")).alias("at"))
+        for name, rank in ranks.items()
+    ]
+    located = running.withColumn("__w", F.explode(F.array(*wanted))).where(_holds("__w.at"))
+    skipped = F.col("__upto") - F.col("__c")
+    return located.select(
+        *by,
+        "n",
+        "__lo",
+        "__hi",
+        F.col("__w.stat").alias("__stat"),
+        (F.col("__w.at") - skipped).alias("__at"),
+    )
+
+
+def _holds(at):
+    """The running count passes the wanted index in this row."""
+    return (F.col("__upto") > F.col(at)) & (F.col("__upto") - F.col("__c") <= F.col(at))
+
+
 def _in_range(rows, targets, by):
     joined = salted_join(rows, targets, by, "inner", TARGET_SALTS)
     return joined.where(F.col("__v").between(F.col("__lo"), F.col("__hi")))
@@ -94,9 +124,7 @@ def _locate(counts, by, order):
     running = counts.withColumn(
         "__upto", F.sum("__c").over(upto.rowsBetween(W.unboundedPreceding, 0))
     )
-    return running.where(
-        (F.col("__upto") > F.col("__at")) & (F.col("__upto") - F.col("__c") <= F.col("__at"))
-    )
+    return running.where(_holds("__at"))
 
 
 def _narrow(rows, targets, by):

@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .blocks import running_sum
 from .joins import salted_join
 
 MISSING_LATENCY = 9999.0
@@ -49,21 +49,27 @@ def vs_baseline(
     runs: DataFrame, label: str, baseline: str, ratios: dict[str, str]
 ) -> DataFrame:
     """Ratios of metrics to those of one run, as ``{new name: metric}``."""
-    base = runs.where(F.col(label) == baseline)
+    metrics = sorted(set(ratios.values()))
+    base = (
+        runs.where(F.col(label) == baseline)
+        .select(F.struct(*[F.max(m).alias(m) for m in metrics]))
+        .scalar()
+    )
+    based = runs.withColumn("__base", base)
     columns = []
     for name, metric in ratios.items():
-        reference = base.select(F.max(metric).alias(metric)).scalar()
+        reference = F.col(f"__base.{metric}")
         columns.append(F.when(reference > 0, F.col(metric) / reference).alias(name))
-    return runs.select("*", *columns)
+    return based.select(*runs.columns, *columns)
 
 
-def _scaled(frame: DataFrame, metric: str, value: Column, lower_is_better: bool) -> Column:
-    low = frame.select(F.min(value).alias("v")).scalar()
-    high = frame.select(F.max(value).alias("v")).scalar()
-    share = (value - low) / (high - low)
-    if lower_is_better:
-        share = F.lit(1.0) - share
-    return F.when(high > low, share).otherwise(F.lit(0.5)).alias(metric)
+def _bounds(frame: DataFrame, metrics: Sequence[str]) -> Column:
+    """Smallest and largest value of each metric, in one scalar subquery."""
+    fields = []
+    for m in metrics:
+        value = F.col(m).cast("double")
+        fields += [F.min(value).alias(f"{m}_lo"), F.max(value).alias(f"{m}_hi")]
+    return frame.select(F.struct(*fields)).scalar()
 
 
 def min_max_score(
@@ -74,13 +80,16 @@ def min_max_score(
     All values equal gives 0.5.
     """
     kept = list(keep) or [c for c in runs.columns if c not in metrics]
-    return runs.select(
-        *kept,
-        *[
-            _scaled(runs, f"{m}{suffix}", F.col(m).cast("double"), lower)
-            for m, lower in metrics.items()
-        ],
-    )
+    bounded = runs.withColumn("__b", _bounds(runs, list(metrics)))
+
+    def scaled(m, lower_is_better):
+        low, high = F.col(f"__b.{m}_lo"), F.col(f"__b.{m}_hi")
+        share = (F.col(m).cast("double") - low) / (high - low)
+        if lower_is_better:
+            share = F.lit(1.0) - share
+        return F.when(high > low, share).otherwise(F.lit(0.5)).alias(f"{m}{suffix}")
+
+    return bounded.select(*kept, *[scaled(m, lower) for m, lower in metrics.items()])
 
 
 def radar_scores(
@@ -103,36 +112,44 @@ def best_case(
     metric: str,
     lower_is_better: bool = False,
     by: Sequence[str] = (),
+    slices: int = 1_024,
 ) -> DataFrame:
     """Add rank, a mark for the best, and percent slower than the best.
 
-    Runs with the same value share a rank.  Ranks are worked out on the distinct
-    values, of which there are as many as different results, not rows.
+    Runs with the same value share a rank.  Ranks are counted over the distinct
+    values, in slices of the value range, so no task sees all of them.
     """
     by = list(by)
     keys = [*by, metric]
     counts = runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
-    order = F.col(metric).asc() if lower_is_better else F.col(metric).desc()
-    ahead = W.partitionBy(*by).orderBy(order)
-    ranked = counts.select(
-        *keys,
-        (
-            F.coalesce(
-                F.sum("__c").over(ahead.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
-            )
-            + 1
-        ).alias("rank"),
-        F.first(metric).over(ahead).alias("__best"),
+    if by:
+        spans = counts.groupBy(*by).agg(F.min(metric).alias("__lo"), F.max(metric).alias("__hi"))
+        bounded = salted_join(counts, spans, by, "inner")
+    else:
+        span = counts.select(
+            F.struct(F.min(metric).alias("lo"), F.max(metric).alias("hi"))
+        ).scalar()
+        bounded = counts.withColumn("__s", span).select(
+            *counts.columns, F.col("__s.lo").alias("__lo"), F.col("__s.hi").alias("__hi")
+        )
+    low, high, value = (F.col(c).cast("double") / 2 for c in ("__lo", "__hi", metric))
+    place = F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
+    sign = 1 if lower_is_better else -1
+    counted = running_sum(
+        bounded, by, [F.col(metric) * sign], [F.floor(place * slices) * sign], F.col("__c"), "__upto"
+    )
+    best = "__lo" if lower_is_better else "__hi"
+    ranked = counted.select(
+        *keys, (F.col("__upto") - F.col("__c") + 1).alias("rank"), F.col(best).alias("__best")
     )
     joined = salted_join(runs, ranked, keys, "left")
-    value, best = F.col(metric).cast("double"), F.col("__best").cast("double")
-    ratio = value / best if lower_is_better else best / value
-    guard = best if lower_is_better else value
+    mine, top = F.col(metric).cast("double"), F.col("__best").cast("double")
+    ratio, divisor = (mine / top, top) if lower_is_better else (top / mine, mine)
     return joined.select(
         *runs.columns,
         "rank",
         (F.col("rank") == 1).alias("is_best"),
-        F.when(guard != 0, (ratio - 1) * 100.0).alias("pct_slower"),
+        F.when(divisor != 0, (ratio - 1) * 100.0).alias("pct_slower"),
     )
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.blocks import Key, row_index
+from ..operators.blocks import Key, range_block, row_index
 from ..operators.filters import with_condition
 from ..operators.joins import salted_join
 from ..schema import SIGNAL_SCHEMA
@@ -37,7 +37,7 @@ def with_chunks(
         lowest = df.select(F.min(pk).alias("k")).scalar()
         return df.withColumn("chunk_id", chunk_number(pk, lowest, size))
     if mode == "rows":
-        ranked = row_index(df, [], [pk], block, "__rank")
+        ranked = row_index(df, [], [pk], block or [range_block(df, pk)], "__rank")
         return ranked.withColumn(
             "chunk_id", F.floor(F.col("__rank") / F.lit(size)).cast("long")
         ).drop("__rank")

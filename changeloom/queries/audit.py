@@ -130,38 +130,36 @@ def _versioned(spark, sf):
     )
     is_new = F.col("ts") >= F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'")
     return table(spark, sf, "events").select(
-        F.lit("shop.events").alias("topic"),
+        F.concat(F.lit("shop."), F.pmod("user_id", F.lit(3)).cast("string")).alias("topic"),
         F.when(is_new, 2).otherwise(1).alias("version"),
         F.when(is_new, F.to_json(new)).otherwise(F.to_json(old)).alias("value"),
     )
 
 
-_NUMBER_KIND = """CASE WHEN value = floor(value) THEN 'BIGINT' ELSE 'DECIMAL' END"""
-
-
 @query("""WITH docs AS (
-  SELECT CASE WHEN ts >= TIMESTAMP '2024-01-15 00:00:00' THEN 2 ELSE 1 END AS version, event_type FROM events),
+  SELECT CASE WHEN ts >= TIMESTAMP '2024-01-15 00:00:00' THEN 2 ELSE 1 END AS version, event_type,
+    'shop.' || CAST(user_id % 3 AS VARCHAR) AS topic FROM events),
 fields AS (
   SELECT 1 AS version, unnest(['event_id', 'user_id', 'amount', 'props']) AS field,
          unnest(['BIGINT', 'BIGINT', 'DECIMAL', 'STRING']) AS type
   UNION ALL
   SELECT 2, unnest(['event_id', 'user_id', 'amount', 'event_type', 'note']),
          unnest(['BIGINT', 'STRING', 'DECIMAL', 'STRING', 'STRING']))
-SELECT 'shop.events' AS topic, f.version, f.field, f.type, count(*) AS messages
+SELECT d.topic, f.version, f.field, f.type, count(*) AS messages
 FROM docs d JOIN fields f ON f.version = d.version AND (f.field <> 'note' OR d.event_type = 'error')
-GROUP BY 2, 3, 4""")
+GROUP BY 1, 2, 3, 4""")
 def schema_fields(spark, sf):
     fields = U.schema_fields(_versioned(spark, sf), "version")
     # A number such as 12.0 is read as a decimal without digits after the point.
     return fields.select("topic", "version", "field", "type", "messages")
 
 
-@query("""SELECT DISTINCT 'shop.events' AS topic, field, change, old_type, new_type, breaks_backward FROM (
+@query("""SELECT DISTINCT 'shop.' || CAST(user_id % 3 AS VARCHAR) AS topic, field, change, old_type, new_type, breaks_backward FROM (
   SELECT unnest(['user_id', 'props', 'event_type', 'note']) AS field,
          unnest(['type_changed', 'removed', 'added', 'added']) AS change,
          unnest(['BIGINT', 'STRING', '', '']) AS old_type,
          unnest(['STRING', '', 'STRING', 'STRING']) AS new_type,
-         unnest([TRUE, FALSE, TRUE, FALSE]) AS breaks_backward
+         unnest([TRUE, FALSE, TRUE, FALSE]) AS breaks_backward, user_id
   FROM events)""")
 def schema_drift(spark, sf):
     return U.schema_drift(_versioned(spark, sf), "version", 1, 2)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import filters as X
 from ..operators import joins as J
 from ..operators import state as S
-from ..operators.blocks import long_block
 from ..plans import incremental as I
 from ..plans import snapshot as P
 from .registry import (
@@ -154,7 +153,7 @@ SELECT chunk_id, min(l_orderkey) AS first_key, max(l_orderkey) AS last_key, coun
 FROM ranked GROUP BY 1""")
 def plan_chunks_by_rows(spark, sf):
     keys = table(spark, sf, "lineitem").select("l_orderkey").distinct()
-    return I.plan_chunks(keys, "l_orderkey", 1_000, "rows", [long_block("l_orderkey")])
+    return I.plan_chunks(keys, "l_orderkey", 1_000, "rows")
 
 
 @query("""SELECT o_orderkey, o_totalprice, 'r' AS op FROM orders
@@ -206,8 +205,8 @@ SELECT o_orderkey, o_totalprice, chunk_id FROM base b WHERE NOT EXISTS (
     AND l.lsn BETWEEN b.chunk_id * {WINDOW} AND b.chunk_id * {WINDOW} + {WINDOW - 1})""")
 def discard_stale_reads(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    reads = I.with_chunks(orders, "o_orderkey", 1_000, "rows", [long_block("o_orderkey")])
-    chunks = I.plan_chunks(orders, "o_orderkey", 1_000, "rows", [long_block("o_orderkey")])
+    reads = I.with_chunks(orders, "o_orderkey", 1_000, "rows")
+    chunks = I.plan_chunks(orders, "o_orderkey", 1_000, "rows")
     windows = I.sequential_windows(chunks, WINDOW)
     return I.discard_stale_reads(reads, live_changes(spark, sf), windows, ["o_orderkey"])
 
