@@ -94,7 +94,7 @@ def order_audit(spark, sf):
         F.round(F.col("value") * 100).cast("long").alias("lsn"),
         F.when(F.col("value") > 60, 1).otherwise(0).cast("int").alias("partition"),
     )
-    return U.order_audit(change, ["pk"], ["arrived"], [long_block("arrived")])
+    return U.order_audit(change, ["pk"], ["arrived"], [long_block("arrived", 24)])
 
 
 @query("""SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem

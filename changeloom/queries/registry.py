@@ -58,7 +58,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_images(change: DataFrame) -> DataFrame:
     """Add before and after images holding ``value``."""
-    prior = previous(change, ["pk"], ["seq"], [long_block("seq")], {"prior": "value"})
+    prior = previous(change, ["pk"], ["seq"], [long_block("seq", 24)], {"prior": "value"})
     image = F.struct(F.col("value"))
     return prior.select(
         *change.columns,
