@@ -34,14 +34,14 @@ def scratch_root(spark: SparkSession) -> str:
     not survive the loss of that machine.  Only a local master may fall back to
     a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="changeloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="changeloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
