@@ -21,7 +21,7 @@ from ..functions import (
     wire_is_framed,
     wire_schema_id,
 )
-from ..schema import CAPTURED_TABLES, USER_EVENT_SCHEMA, TableSpec, envelope_schema
+from ..schema import CAPTURED_TABLES, MONEY_SCALES, USER_EVENT_SCHEMA, TableSpec, envelope_schema
 
 KNOWN_OPS = ("r", "c", "u", "d")
 LIVE_OPS = ("r", "c", "u")
@@ -128,8 +128,9 @@ def _shown_fields(row: T.StructType, spec: TableSpec | None) -> list[str]:
 
 def _shown_value(image: str, row: T.StructType, name: str, spec: TableSpec | None) -> Column:
     value = F.col(f"{image}.`{name}`")
-    if spec and name in spec.decimal_scales:
-        value = decode_decimal(value, row[name].dataType, spec.decimal_scales[name])
+    scales = spec.decimal_scales if spec else MONEY_SCALES
+    if name in scales:
+        value = decode_decimal(value, row[name].dataType, scales[name])
     return value
 
 
@@ -138,7 +139,7 @@ def key_fields(
 ) -> DataFrame:
     """Add a struct of the columns shown for ``table``, decimals decoded.
 
-    A table without settings shows all its columns.
+    A table without settings shows all its columns; money columns are known by name.
     """
     spec = (specs or CAPTURED_TABLES).get(table)
     row = _row_type(change, image)

@@ -214,7 +214,7 @@ def drain_rate_eta(
         F.floor((F.col("end_offset") - F.col("lag")) * 100 / F.col("end_offset")),
     ).otherwise(F.lit(0))
     return staged.select(
-        *samples.columns,
+        *[c for c in samples.columns if c != "lag"],
         "lag",
         consumed.cast("long").alias("consumed_pct"),
         "rate",

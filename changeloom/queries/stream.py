@@ -6,7 +6,17 @@ from pyspark.sql import functions as F
 
 from .. import streaming as K
 from ..session import scratch_path
-from .registry import CHANGE_SQL, change_log, op_of, query, table
+from .registry import (
+    CHANGE_SQL,
+    CHUNK,
+    LIVE_SQL,
+    WINDOW,
+    live_changes,
+    op_of,
+    query,
+    rounded,
+    table,
+)
 
 
 def event_stream(spark, sf):
@@ -43,8 +53,15 @@ def stream_dedupe(spark, sf):
     return spark.read.schema(deduped.schema).parquet(f"{root}/out")
 
 
-@query()
+@query("""WITH windows AS (
+  SELECT event_type AS topic, epoch_us(ts) // 21600000000 * 21600 AS bucket, count(*) AS messages,
+         CAST(sum(strlen(props)) AS BIGINT) AS bytes, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.99) AS p99
+  FROM events GROUP BY 1, 2)
+SELECT topic, bucket, messages, bytes, round(messages / 21600::DOUBLE, 6) AS msg_s,
+  round(bytes / messages::DOUBLE, 6) AS avg_bytes, p50, p99
+FROM windows WHERE (bucket + 21600) * 1000000 <= (SELECT max(epoch_us(ts)) FROM events) - 3600000000""")
 def stream_tumbling_metrics(spark, sf):
+    """Windows that the watermark has closed; the last ones stay open."""
     stream = event_stream(spark, sf).select(
         F.col("event_type").alias("topic"),
         F.col("ts").alias("timestamp"),
@@ -54,4 +71,50 @@ def stream_tumbling_metrics(spark, sf):
     windows = K.tumbling_metrics(stream, "6 hours", "1 hour", ["topic"])
     root = scratch_path(spark, "stream-metrics")
     K.consume_once(windows, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.schema(windows.schema).parquet(f"{root}/out")
+    closed = spark.read.schema(windows.schema).parquet(f"{root}/out")
+    return closed.select(
+        "topic",
+        F.unix_timestamp("window_start").alias("bucket"),
+        "messages",
+        "bytes",
+        *rounded("msg_s", "avg_bytes"),
+        "p50",
+        "p99",
+    )
+
+
+@query(f"""WITH {LIVE_SQL},
+base AS (SELECT o_orderkey, o_totalprice, o_orderkey // {CHUNK} AS chunk_id FROM orders),
+kept AS (
+  SELECT o_orderkey, chunk_id * {WINDOW} + {WINDOW - 1} AS lsn, 'r' AS op, o_totalprice FROM base b WHERE NOT EXISTS (
+    SELECT 1 FROM live l WHERE l.o_orderkey = b.o_orderkey
+      AND l.lsn BETWEEN b.chunk_id * {WINDOW} AND b.chunk_id * {WINDOW} + {WINDOW - 1}))
+SELECT * FROM kept UNION ALL SELECT o_orderkey, lsn, op, o_totalprice FROM live""")
+def stream_backfill(spark, sf):
+    """Orders backfilled in chunks while line items change them, as one stream."""
+    root = scratch_path(spark, "stream-backfill")
+    chunk = F.floor(F.col("o_orderkey") / CHUNK).cast("long").alias("chunk_id")
+    columns = ["chunk_id", "o_orderkey", "lsn", "op", "o_totalprice"]
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", chunk)
+    opened = F.col("chunk_id") * WINDOW
+    reads = orders.select(
+        F.lit("read").alias("kind"), "chunk_id", "o_orderkey", opened.alias("lsn"), F.lit("r").alias("op"), "o_totalprice"
+    )
+    edges = orders.select("chunk_id").distinct().select(
+        "chunk_id",
+        F.explode(
+            F.array(
+                F.struct(F.lit("open").alias("kind"), opened.alias("lsn")),
+                F.struct(F.lit("close").alias("kind"), (opened + (WINDOW - 1)).alias("lsn")),
+            )
+        ).alias("m"),
+    ).select("m.kind", "chunk_id", "m.lsn")
+    live = live_changes(spark, sf).select(F.lit("live").alias("kind"), "*", chunk)
+    log = reads.unionByName(live).unionByName(edges, allowMissingColumns=True)
+    # Written in log order, so that each window closes after the changes inside it.
+    log.select("kind", *columns).sort("lsn").write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(spark.read.parquet(f"{root}/log").schema).parquet(f"{root}/log")
+    K.backfill_stream(
+        stream, f"{root}/staging", f"{root}/table", ["o_orderkey"], f"{root}/checkpoint"
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/table").select("o_orderkey", "lsn", "op", "o_totalprice")

@@ -76,6 +76,19 @@ class TableSpec:
     decimal_scales: dict[str, int] = field(default_factory=dict)
 
 
+# Money columns and their scales, for tables without settings.
+MONEY_SCALES = {
+    "StandardCost": 4,
+    "ListPrice": 4,
+    "UnitPrice": 4,
+    "UnitPriceDiscount": 4,
+    "LineTotal": 6,
+    "SubTotal": 4,
+    "TaxAmt": 4,
+    "Freight": 4,
+    "TotalDue": 4,
+}
+
 # The captured tables, their keys and the columns shown for them.
 CAPTURED_TABLES = {
     "Person": TableSpec(

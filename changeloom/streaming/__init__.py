@@ -1,5 +1,6 @@
 """Structured Streaming entry points."""
 
+from .backfill import backfill_stream  # noqa: F401
 from .jobs import (  # noqa: F401
     consume_once,
     console_summary,
@@ -10,5 +11,6 @@ from .jobs import (  # noqa: F401
     live_rows,
     latest_state,
     materialize_stream,
+    progress_lag,
     tumbling_metrics,
 )

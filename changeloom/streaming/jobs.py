@@ -6,6 +6,7 @@ streaming frame.  What is here keeps state or writes.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -147,6 +148,19 @@ def late_rows(query) -> int:
     )
 
 
+def progress_lag(query) -> list[tuple[str, int, int]]:
+    """``(topic, partition, lag)`` from the last progress of a Kafka query."""
+    found = []
+    progress = query.lastProgress
+    for source in progress.sources if progress else []:
+        latest, ended = (json.loads(o or "{}") for o in (source.latestOffset, source.endOffset))
+        for topic, partitions in latest.items():
+            for partition, offset in partitions.items():
+                done = ended.get(topic, {}).get(partition, 0)
+                found.append((topic, int(partition), max(0, offset - done)))
+    return found
+
+
 def lag_series(end: DataFrame, committed: DataFrame) -> DataFrame:
     """Consumer lag per topic and sample time."""
     return consumer_lag(end, committed, by=("topic", "ts"))

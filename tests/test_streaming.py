@@ -155,3 +155,47 @@ def test_lag_series(spark):
     end = spark.createDataFrame([("t", T0, 0, 10), ("t", T0, 1, 5)], "topic string, ts timestamp, partition int, end_offset long")
     committed = spark.createDataFrame([("t", T0, 0, 4)], "topic string, ts timestamp, partition int, committed long")
     assert K.lag_series(end, committed).first().lag == 11
+
+
+@pytest.mark.parametrize("per_file", [7, 60, 1000])
+def test_backfill_stream_equals_batch(spark, tmp_path, per_file):
+    import random
+
+    rng = random.Random(4)
+    size, length = 10, 40
+    source = spark.range(0, 60).select(F.col("id").alias("pk"), (F.col("id") * 10).alias("v"))
+    changes = [(lsn, 33 if rng.random() < 0.34 else rng.randrange(60), rng.randrange(1000)) for lsn in range(0, 240)]
+    log = [("live", pk // size, pk, lsn, "u", v, lsn * 4 + 1) for lsn, pk, v in changes]
+    for chunk in range(6):
+        opened, closed = chunk * length, chunk * length + length - 1
+        log.append(("open", chunk, None, opened, None, None, opened * 4))
+        log.append(("close", chunk, None, closed, None, None, closed * 4 + 2))
+        log += [("read", chunk, k, opened + 5, "r", k * 10, (opened + 5) * 4) for k in range(chunk * size, chunk * size + size)]
+    log.sort(key=lambda r: r[-1])
+    schema = "kind string, chunk_id long, pk long, lsn long, op string, v long"
+    src, staging, target, cp = (str(tmp_path / n) for n in ("in", "staging", "out", "cp"))
+    for i in range(0, len(log), per_file):
+        part = spark.createDataFrame([r[:-1] for r in log[i : i + per_file]], schema)
+        part.coalesce(1).write.mode("append").parquet(src)
+    if per_file < 60:
+        log_files = len(log) // per_file
+        assert log_files > 10
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "9").parquet(src)
+    K.backfill_stream(stream, staging, target, ["pk"], cp).awaitTermination()
+    got = spark.read.parquet(target).select("pk", "lsn", "op", "v")
+    live = spark.createDataFrame([(pk, lsn, "u", v) for lsn, pk, v in changes], "pk long, lsn long, op string, v long")
+    windows = I.sequential_windows(I.plan_chunks(source, "pk", size), length)
+    reads = I.incremental_snapshot(source, live, "pk", size, windows).drop("chunk_id")
+    want = I.interleave(reads, live).select("pk", "lsn", "op", "v")
+    assert rows(got) == rows(want)
+
+
+def test_progress_lag():
+    class Source:
+        latestOffset = '{"t":{"0":10,"1":4}}'
+        endOffset = '{"t":{"0":7}}'
+
+    class Query:
+        lastProgress = type("P", (), {"sources": [Source()]})()
+
+    assert K.progress_lag(Query()) == [("t", 0, 3), ("t", 1, 4)]
