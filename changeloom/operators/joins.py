@@ -1,5 +1,8 @@
 """Equi-joins that keep working when one key holds a large share of the rows.
 
+Two ways to spread a hot key: :func:`salted_join` copies every row of a narrow right
+side, :func:`hot_key_join` finds the hot keys first and copies only their rows.
+
 No join here forces a broadcast: Spark's own size threshold decides, at planning
 time or from the shuffle statistics at run time.
 """
@@ -29,8 +32,7 @@ def salted_join(
     values, so equal rows spread too, nor on the order in which rows arrive, so a
     recomputed task gives the same salt.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("the copied side can only be the right side")
+    _check_side(how)
     spread = left.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     copied = right.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
@@ -38,6 +40,55 @@ def salted_join(
     return spread.join(copied, on=[*on, "__salt"], how=how).drop("__salt")
 
 
+# A key is hot from this share of the rows on; there can be no more than this many.
+HOT_SHARE = 256
+HOT_SALTS = 1_024
+TRACKED_KEYS = 10_000
+
+
+def hot_keys(df: DataFrame, on: Sequence[str]) -> Column:
+    """Hashes of the keys with at least 1/256 of all rows, as a scalar subquery.
+
+    One narrow pass with a frequent-items sketch of fixed size.  The sketch only
+    decides how rows are spread, so a missed or a wrong key cannot change a result.
+    """
+    names = ", ".join(f"`{c}`" for c in on)
+    sketch = F.expr(f"approx_top_k(xxhash64({names}), {HOT_SHARE}, {TRACKED_KEYS})")
+    found = df.select(sketch.alias("top"), F.count(F.lit(1)).alias("n"))
+    frequent = F.filter(
+        "top", lambda t: t.getField("count") * HOT_SHARE >= F.col("n")
+    )
+    return found.select(F.transform(frequent, lambda t: t.getField("item"))).scalar()
+
+
+def hot_key_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, salts: int = HOT_SALTS
+) -> DataFrame:
+    """Join a side with hot keys (``left``) to a side that may be large itself.
+
+    Left rows of hot keys are spread over ``salts`` tasks by their input partition,
+    and only the right rows of those keys are copied.
+    """
+    _check_side(how)
+    hot = hot_keys(left, on)
+    # Equal keys of different types hash differently, so both sides use the left types.
+    alike = [F.col(c).try_cast(left.schema[c].dataType) for c in on]
+    spread = left.withColumn(
+        "__salt",
+        F.when(F.array_contains(hot, F.xxhash64(*on)), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0)),
+    )
+    copies = F.when(
+        F.array_contains(hot, F.xxhash64(*alike)), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    copied = right.withColumn("__salt", F.explode(copies))
+    return spread.join(copied, on=[*on, "__salt"], how=how).drop("__salt")
+
+
+def _check_side(how: str) -> None:
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("the copied side can only be the right side")
+
+
 def detail_for_recent_headers(
     detail: DataFrame,
     header: DataFrame,
@@ -51,7 +102,7 @@ def detail_for_recent_headers(
     join on the header keys; details of one very large header are spread.
     """
     keys = header.where(recent).select(F.col(header_key).alias(detail_key)).distinct()
-    return salted_join(detail, keys, [detail_key], "left_semi").select(*detail.columns)
+    return hot_key_join(detail, keys, [detail_key], "left_semi").select(*detail.columns)
 
 
 def parents_with_recent_children(
@@ -72,7 +123,7 @@ def parents_with_recent_children(
 def rows_in_subquery(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """``key IN (SELECT ...)``; ``keys`` has one column."""
     wanted = keys.toDF(key).distinct()
-    return salted_join(df, wanted, [key], "left_semi").select(*df.columns)
+    return hot_key_join(df, wanted, [key], "left_semi").select(*df.columns)
 
 
 def deletable_keys(

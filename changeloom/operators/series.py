@@ -12,7 +12,7 @@ from ..functions import duration_text
 from .aggregates import MB
 from .blocks import Key, following, long_block, moving_mean, previous, row_index, running_sum, time_block
 from .joins import salted_join
-from .order_stats import lower_middle, order_statistics, percentile_rank, upper_middle
+from .order_stats import TARGET_SALTS, lower_middle, order_statistics, percentile_rank, upper_middle
 
 FILL_STEP = 4_096
 
@@ -275,7 +275,7 @@ def stop_at_idle(
         .groupBy(*by)
         .agg(F.min(F.when(F.col("__gap") > idle, F.col("__b"))).alias("__cut"))
     )
-    joined = salted_join(log.withColumn("__t", micros), cuts, by, "left")
+    joined = salted_join(log.withColumn("__t", micros), cuts, by, "left", TARGET_SALTS)
     kept = joined.where(F.col("__cut").isNull() | (F.col("__t") <= F.col("__cut")))
     if limit is not None:
         kept = row_index(

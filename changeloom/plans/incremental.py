@@ -123,7 +123,7 @@ def incremental_snapshot(
     numbered = df.withColumn("chunk_id", chunk_number(pk, lowest, size))
     reads = with_condition(numbered, condition)
     if chunks is not None:
-        reads = salted_join(reads, chunks.select("chunk_id").distinct(), ["chunk_id"], "left_semi")
+        reads = reads.join(chunks.select("chunk_id").distinct(), on="chunk_id", how="left_semi")
     spans = windows.select("chunk_id", "open_pos", "close_pos")
     placed = live.select(F.col(pk), F.col(position).alias("__pos")).withColumn(
         "chunk_id", chunk_number(pk, lowest, size)

@@ -97,8 +97,21 @@ def test_salted_join_equals_plain_join(spark, how):
     left = spark.range(0, 3000, 1, 12).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"), "id")
     right = spark.createDataFrame([(i, i * 10) for i in range(0, 40, 2)] + [(1, 5), (2, 6)], "k long, w int")
     assert rows(J.salted_join(left, right, ["k"], how, 5)) == rows(left.join(right, "k", how))
-    with pytest.raises(ValueError):
-        J.salted_join(left, right, ["k"], "full")
+    assert rows(J.hot_key_join(left, right, ["k"], how, 5)) == rows(left.join(right, "k", how))
+    narrow = left.withColumn("k", F.col("k").cast("int"))
+    far = right.unionByName(spark.createDataFrame([(2**40, 1)], "k long, w int"))
+    assert rows(J.hot_key_join(narrow, far, ["k"], how, 5)) == rows(narrow.join(far, "k", how))
+    for join in (J.salted_join, J.hot_key_join):
+        with pytest.raises(ValueError):
+            join(left, right, ["k"], "full")
+
+
+def test_hot_keys_are_found(spark):
+    df = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    found = spark.range(1).select(J.hot_keys(df, ["k"]).alias("h")).first().h
+    assert found == [spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]]
+    none = spark.range(1).select(J.hot_keys(df.where("k >= 0"), ["k"]).alias("h")).first().h
+    assert none == []
 
 
 @pytest.mark.parametrize("mode,block", [("key_range", []), ("rows", [long_block]), ("rows", [])])
