@@ -12,7 +12,6 @@ from .hashing import seeded_int, seeded_unit  # noqa: F401
 from .text import (  # noqa: F401
     duration_text,
     format_ts_ms,
-    json_field,
     op_name,
     table_short_name,
     topic_parts,

@@ -61,8 +61,3 @@ def duration_text(seconds: Column) -> Column:
             )
         )
     )
-
-
-def json_field(name: str, rendered: Column, last: bool = False) -> Column:
-    """One ``"name":value`` piece for hand-assembled flat JSON text."""
-    return F.concat(F.lit(f'"{name}":'), rendered, F.lit("" if last else ","))

@@ -26,6 +26,9 @@ from ..schema import CAPTURED_TABLES, MONEY_SCALES, USER_EVENT_SCHEMA, TableSpec
 KNOWN_OPS = ("r", "c", "u", "d")
 LIVE_OPS = ("r", "c", "u")
 
+# Fixed value: the line shown for a tombstone.
+TOMBSTONE_TEXT = "Tombstone message (null value) — used for log compaction"
+
 
 def _ddl(schema: T.StructType) -> str:
     return schema.simpleString()
@@ -229,7 +232,7 @@ def render_summary(
     )
     line = F.when(
         F.col("is_tombstone"),
-        F.concat(head, F.lit("Tombstone message (null value)")),
+        F.concat(head, F.lit(TOMBSTONE_TEXT)),
     ).otherwise(F.concat_ws(" | ", title, detail))
     return shown.withColumn(out, line).drop("__diff", "before_shown", "after_shown")
 

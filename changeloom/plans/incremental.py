@@ -22,22 +22,31 @@ LISTED_KEYS = 8_192
 
 def chunk_number(key: str, first_key, size: int) -> Column:
     """Chunk of a key when chunks are ``size`` consecutive key values."""
-    return F.floor((F.col(key) - first_key) / F.lit(size)).cast("long")
+    return F.call_function("div", F.col(key) - first_key, F.lit(size))
 
 
 def with_chunks(
-    df: DataFrame, pk: str, size: int, mode: str = "key_range", block: Sequence[Key] = ()
+    df: DataFrame,
+    pk: str | Sequence[str],
+    size: int,
+    mode: str = "key_range",
+    block: Sequence[Key] = (),
 ) -> DataFrame:
     """Add ``chunk_id``.
 
-    ``key_range`` chunks hold ``size`` key values and are computed per row;
-    ``rows`` chunks hold ``size`` rows and need a global row number.
+    ``key_range`` chunks hold ``size`` values of one whole-number key and are computed
+    per row; ``rows`` chunks hold ``size`` rows in key order, also of a composite key,
+    and need a global row number.  ``block`` cuts the key order (see
+    :mod:`changeloom.operators.blocks`); by default, equal slices of the first column.
     """
+    keys = [pk] if isinstance(pk, str) else list(pk)
     if mode == "key_range":
-        lowest = df.select(F.min(pk).alias("k")).scalar()
-        return df.withColumn("chunk_id", chunk_number(pk, lowest, size))
+        if len(keys) > 1:
+            raise ValueError("key ranges need a single key column; use mode='rows'")
+        lowest = df.select(F.min(keys[0]).alias("k")).scalar()
+        return df.withColumn("chunk_id", chunk_number(keys[0], lowest, size))
     if mode == "rows":
-        ranked = row_index(df, [], [pk], block or [range_block(df, pk)], "__rank")
+        ranked = row_index(df, [], keys, block or [range_block(df, keys[0])], "__rank")
         return ranked.withColumn(
             "chunk_id", F.floor(F.col("__rank") / F.lit(size)).cast("long")
         ).drop("__rank")
@@ -45,14 +54,23 @@ def with_chunks(
 
 
 def plan_chunks(
-    df: DataFrame, pk: str, size: int, mode: str = "key_range", block: Sequence[Key] = ()
+    df: DataFrame,
+    pk: str | Sequence[str],
+    size: int,
+    mode: str = "key_range",
+    block: Sequence[Key] = (),
 ) -> DataFrame:
-    """Chunks with first key, last key, rows and the end position of the table."""
-    end = df.select(F.max(pk).alias("k")).scalar()
-    chunked = with_chunks(df.select(pk), pk, size, mode, block)
+    """Chunks with first key, last key, rows and the end position of the table.
+
+    Keys are structs when the key is composite.
+    """
+    key = F.col(pk) if isinstance(pk, str) else F.struct(*pk)
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    end = df.select(F.max(key).alias("k")).scalar()
+    chunked = with_chunks(df.select(*keys), pk, size, mode, block)
     return chunked.groupBy("chunk_id").agg(
-        F.min(pk).alias("first_key"),
-        F.max(pk).alias("last_key"),
+        F.min(key).alias("first_key"),
+        F.max(key).alias("last_key"),
         F.count(F.lit(1)).alias("rows"),
     ).select("*", end.alias("end_key"))
 

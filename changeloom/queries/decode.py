@@ -168,7 +168,7 @@ def changed_fields(spark, sf):
          || ' | LSN: ' || CASE WHEN seq % 2 = 0 THEN printf('%08X', seq) ELSE '?' END || ' | ' AS head
   FROM wire)
 SELECT "offset", CASE
-  WHEN is_tombstone THEN '[events] Tombstone message (null value)'
+  WHEN is_tombstone THEN '[events] Tombstone message (null value) — used for log compaction'
   WHEN op IN ('c', 'r') THEN head || 'NEW: {{"value":' || CAST(after_value AS VARCHAR) || '}}'
   WHEN op = 'd' THEN head || 'DELETED: ' || CASE WHEN before_value IS NULL THEN '{{}}' ELSE
        '{{"value":' || CAST(before_value AS VARCHAR) || '}}' END

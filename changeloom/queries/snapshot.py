@@ -157,10 +157,11 @@ def plan_chunks_by_rows(spark, sf):
 
 
 @query("""SELECT o_orderkey, o_totalprice, 'r' AS op FROM orders
-WHERE o_orderkey BETWEEN 0 AND 1023 AND o_totalprice > 100000""")
+WHERE o_orderkey BETWEEN 0 AND (SELECT max(o_orderkey) // 2 FROM orders) AND o_totalprice > 100000 ORDER BY o_orderkey""")
 def read_chunk(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return I.read_chunk(orders, "o_orderkey", 0, CHUNK - 1, "o_totalprice > 100000")
+    middle = orders.select(F.call_function("div", F.max("o_orderkey"), F.lit(2))).scalar()
+    return I.read_chunk(orders, "o_orderkey", 0, middle, "o_totalprice > 100000")
 
 
 _WINDOWS_SQL = f"""{LIVE_SQL},

@@ -139,7 +139,7 @@ def test_decode_and_render(spark, wrapped):
         '[Person] UPDATE | N/A | LSN: ? | CHANGED: {"BusinessEntityID":"None -> 7","FirstName":"None -> Cid"}'
     )
     assert lines[4] == f'[Person] DELETE | {head}DELETED: {{"BusinessEntityID":7,"FirstName":"Cid"}}'
-    assert lines[5] == "[Person] Tombstone message (null value)"
+    assert lines[5] == "[Person] Tombstone message (null value) — used for log compaction"
     assert lines[6] == f"[Person] UNKNOWN(x) | {head}BEFORE: {{}} AFTER: {{}}"
     assert lines[7].startswith("[Person] UNKNOWN(?) | ")
 

@@ -133,6 +133,29 @@ def test_chunks_cover_the_table(source, mode, block):
     assert [r.id for r in I.read_chunk(source, "id", 0, 30, "v > 2").collect()] == [9, 12, 15, 18, 21, 24, 27, 30]
 
 
+def test_composite_key_chunks(spark):
+    keys = sorted((i * 7 % 40, i) for i in range(230))
+    df = spark.createDataFrame(keys, "a long, b long")
+    for block in ([], ["a"]):
+        chunks = I.plan_chunks(df, ["a", "b"], 50, "rows", block).orderBy("chunk_id").collect()
+        assert [c.rows for c in chunks] == [50, 50, 50, 50, 30]
+        assert [tuple(c.first_key) for c in chunks] == [keys[i] for i in range(0, 230, 50)]
+        assert tuple(chunks[0].end_key) == keys[-1]
+    reads = I.with_chunks(df, ["a", "b"], 50, "rows", ["a"])
+    windows = I.sequential_windows(spark.range(5).toDF("chunk_id"), 10)
+    live = spark.createDataFrame([(*keys[0], 3), (*keys[60], 3), (*keys[60], 19)], "a long, b long, lsn long")
+    kept = rows(I.discard_stale_reads(reads, live, windows, ["a", "b"]).select("a", "b"))
+    assert len(kept) == 228 and keys[0] not in kept and keys[60] not in kept
+    with pytest.raises(ValueError):
+        I.with_chunks(df, ["a", "b"], 50)
+
+
+def test_chunk_numbers_of_very_large_keys(spark):
+    df = spark.createDataFrame([(k,) for k in (2**60, 2**60 + 1023, 2**60 + 1024, 2**60 + 10**16 + 1)], "id long")
+    got = {r.first_key: r.rows for r in I.plan_chunks(df, "id", 1024).collect()}
+    assert got == {2**60: 2, 2**60 + 1024: 1, 2**60 + 10**16 + 1: 1}
+
+
 def _live(spark, seed=2):
     rng = random.Random(seed)
     data = []
