@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .joins import hot_keys
+
 Key = str | Column
 
 
@@ -50,6 +52,16 @@ def range_block(df: DataFrame, name: str, rows: int = 1 << 20) -> Column:
     ).cast("long")
 
 
+def hot_block(df: DataFrame, by: Sequence[str], block: Column, share: int = 4_096) -> Column:
+    """``block`` for groups with at least ``1/share`` of all rows, one block for others.
+
+    For groups such as keys, most of which are small: they then cost one row in the
+    block table, however far apart their rows lie.
+    """
+    hot = F.array_contains(hot_keys(df, by, share), F.xxhash64(*by))
+    return F.when(hot, block).otherwise(F.lit(0)).cast("long")
+
+
 def _col(key: Key) -> Column:
     return F.col(key) if isinstance(key, str) else key
 

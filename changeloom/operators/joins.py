@@ -43,21 +43,20 @@ def salted_join(
 # A key is hot from this share of the rows on; there can be no more than this many.
 HOT_SHARE = 256
 HOT_SALTS = 1_024
-TRACKED_KEYS = 10_000
+TRACKED_PER_HOT_KEY = 5
 
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> Column:
-    """Hashes of the keys with at least 1/256 of all rows, as a scalar subquery.
+def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> Column:
+    """Hashes of the keys with at least ``1/share`` of all rows, as a scalar subquery.
 
     One narrow pass with a frequent-items sketch of fixed size.  The sketch only
     decides how rows are spread, so a missed or a wrong key cannot change a result.
     """
     names = ", ".join(f"`{c}`" for c in on)
-    sketch = F.expr(f"approx_top_k(xxhash64({names}), {HOT_SHARE}, {TRACKED_KEYS})")
+    tracked = share * TRACKED_PER_HOT_KEY
+    sketch = F.expr(f"approx_top_k(xxhash64({names}), {share}, {tracked})")
     found = df.select(sketch.alias("top"), F.count(F.lit(1)).alias("n"))
-    frequent = F.filter(
-        "top", lambda t: t.getField("count") * HOT_SHARE >= F.col("n")
-    )
+    frequent = F.filter("top", lambda t: t.getField("count") * share >= F.col("n"))
     return found.select(F.transform(frequent, lambda t: t.getField("item"))).scalar()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates as A
 from ..operators import audit as U
 from ..operators import state as S
-from ..operators.blocks import long_block
+from ..operators.blocks import hot_block, long_block
 from .registry import CHANGE_SQL, change_log, op_of, query, rounded, table
 
 
@@ -94,7 +94,8 @@ def order_audit(spark, sf):
         F.round(F.col("value") * 100).cast("long").alias("lsn"),
         F.when(F.col("value") > 60, 1).otherwise(0).cast("int").alias("partition"),
     )
-    return U.order_audit(change, ["pk"], ["arrived"], [long_block("arrived", 24)])
+    block = hot_block(change, ["pk"], long_block("arrived"))
+    return U.order_audit(change, ["pk"], ["arrived"], [block])
 
 
 @query("""SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.blocks import long_block, previous, row_index
+from ..operators.blocks import hot_block, long_block, previous, row_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,7 +58,8 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_images(change: DataFrame) -> DataFrame:
     """Add before and after images holding ``value``."""
-    prior = previous(change, ["pk"], ["seq"], [long_block("seq", 24)], {"prior": "value"})
+    block = hot_block(change, ["pk"], long_block("seq"))
+    prior = previous(change, ["pk"], ["seq"], [block], {"prior": "value"})
     image = F.struct(F.col("value"))
     return prior.select(
         *change.columns,

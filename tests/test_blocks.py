@@ -90,3 +90,16 @@ def test_moving_mean_leaves_short_series(spark):
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, 20)], "g string, seq long, v int")
     got = B.moving_mean(df, ["g"], ["seq"], [B.long_block("seq")], "v", 5, "m")
     assert rows(got) == [("a", 1, 10, 10.0), ("a", 2, 20, 20.0)]
+
+
+@pytest.mark.parametrize("share", [2, 3, 100])
+def test_hot_groups_only_are_cut(data, share):
+    block = B.hot_block(data, ["g"], B.long_block("seq", 4), share)
+    cut = data.withColumn("b", block).groupBy("g").agg(F.countDistinct("b").alias("n")).collect()
+    blocks = {r.g: r.n for r in cut}
+    assert (blocks["hot"] > 10) == (share > 2)
+    assert (blocks["a"] == 1) == (share < 100)
+    got = B.previous(data, ["g"], ["seq"], [block], {"p": "v"})
+    assert rows(got) == rows(data.withColumn("p", F.lag("v").over(by_seq())))
+    got = B.row_index(data, ["g"], ["seq"], [block], "i")
+    assert rows(got) == rows(data.withColumn("i", (F.row_number().over(by_seq()) - 1).cast("long")))
