@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, sharding, simhash
+from . import bpe, exact_dedup, language, language_model, packing, quality, sharding, simhash, suffix_dedup, toxicity
+from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +58,42 @@ def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.outlier_verdicts(table(spark, sf_dir, "documents")).drop("distance")
+
+
+@query
+def op7_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, fold(4) != 2)
+    return found.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.toxicity(docs, labels, fold(5) != 0)
+    return found.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query
+def op2_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_model.scores(table(spark, sf_dir, "documents"), fold(5) != 1)
+    return found.withColumn("held_out", fold(5) == 1)
