@@ -16,11 +16,13 @@ from .common import stored, text_of
 ROUNDS = 4
 BUCKETS = 512
 UNIT = 1 << 30
+# Room that a group larger than a shard asks for, so that others need not leave its shards.
+ROOM = 1.1
 
 
-def _share(*columns: str) -> Column:
-    """A repeatable number below ``UNIT``."""
-    return F.pmod(F.xxhash64(*columns), F.lit(UNIT))
+def _share(number: int, *columns: str) -> Column:
+    """A repeatable number below ``UNIT``, another one each round."""
+    return F.pmod(F.xxhash64(F.lit(number), *columns), F.lit(UNIT))
 
 
 def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
@@ -40,7 +42,7 @@ def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
         wanted = (
             held.withColumn("size", F.sum("n").over(by_group))
             .withColumn("place", F.row_number().over(by_group.orderBy(F.desc("n"), "shard")))
-            .withColumn("need", F.ceil(F.col("size") / F.lit(max(1, quota))))
+            .withColumn("need", F.ceil(F.col("size") * ROOM / F.lit(max(1, quota))))
             .where("place <= need")
             .groupBy("group")
             .agg(F.array_sort(F.collect_list("shard")).alias("targets"), F.max("need").alias("need"))
@@ -52,7 +54,7 @@ def propagate(nodes: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
             ),
         )
         # Groups within one shard move as a whole, larger ones row by row.
-        asked = asked.withColumn("draw", F.when(F.col("need") > 1, _share("group", "id")).otherwise(_share("group")))
+        asked = asked.withColumn("draw", F.when(F.col("need") > 1, _share(number, "group", "id")).otherwise(_share(number, "group")))
         asked = stored(asked.drop("targets", "need"), f"shards-asked-{number}")
         demand = asked.where("linked").groupBy("target").agg(
             F.count_if(F.col("shard") != F.col("target")).alias("moving"), F.count_if(F.col("shard") == F.col("target")).alias("staying")

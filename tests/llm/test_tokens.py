@@ -133,7 +133,7 @@ def test_shards(messy, messy_rows, shards):
 
 
 def test_shards_keep_groups_together(spark, no_rows):
-    """A third of all rows are one text, others come in groups of three; few groups are cut, the large one fills whole shards."""
+    """A third of all rows are one text, others come in groups of three; few groups are cut, most of the large one is in four shards."""
     rng = random.Random(2)
     rows = [(i, "hot", None, None, 0) for i in range(400)]
     rows += [(400 + i, f"group {i // 3}", None, None, 0) for i in range(300)] + [(700 + i, prose(rng, 8), None, None, 0) for i in range(500)]
@@ -143,6 +143,6 @@ def test_shards_keep_groups_together(spark, no_rows):
     where = defaultdict(Counter)
     for r in found:
         where[text[r["doc_id"]]][r["shard"]] += 1
-    assert len(where["hot"]) <= 5
+    assert sum(n for _, n in where["hot"].most_common(4)) >= 0.8 * 400
     assert sum(len(where[f"group {i}"]) > 1 for i in range(100)) <= 15
     assert sharding.balanced_shards(no_rows, 10).collect() == []
