@@ -17,15 +17,20 @@ Group and block columns must not be null, and the order must be total.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .joins import hot_keys
 
 Key = str | Column
 
+# Blocks of a whole-number column are taken together in groups of ``2**SUPER_BITS`` numbers.
+SUPER_BITS = 12
+
 
 def long_block(name: Key, bits: int = 20) -> Column:
     """Blocks of ``2**bits`` consecutive values of a LONG."""
@@ -37,19 +42,74 @@ def time_block(name: Key, seconds: int = 3600) -> Column:
     return F.floor(F.unix_timestamp(_col(name)) / F.lit(seconds)).cast("long")
 
 
+# Bounds that cut a range into parts of about equal row counts; a power of two, less one.
+BOUNDS = 1_023
+
+
+def bounds_of(value: Column) -> Column:
+    """Aggregate: ``BOUNDS`` rising values that cut the rows into parts of about equal size."""
+    shares = F.array(*[F.lit(i / (BOUNDS + 1)) for i in range(1, BOUNDS + 1)])
+    return F.percentile_approx(value, shares, 10 * (BOUNDS + 1))
+
+
+def place_among(bounds: Column, value: Column) -> Column:
+    """How many of the rising bounds are below the value, by binary search.
+
+    A value that is a bound itself gets an odd number, so that it does not share a part with others;
+    all other numbers are even.
+    """
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(BOUNDS.bit_length()))])
+
+    def step(at: Column, size: Column) -> Column:
+        bound = F.get(bounds, at + size - 1)
+        return F.when(F.coalesce(bound < value, F.lit(False)), at + size).otherwise(at)
+
+    below = F.aggregate(steps, F.lit(0), step)
+    return below * 2 + F.when(F.coalesce(F.get(bounds, below) == value, F.lit(False)), 1).otherwise(0)
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """The column as a number that never decreases along its order."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.StringType):
+        # The first six bytes say enough to cut a range; ties stay in one part.
+        head = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    return F.col(name).cast("double")
+
+
 def range_block(df: DataFrame, name: str, rows: int = 1 << 20) -> Column:
-    """Equal slices of the range of a number, about ``rows`` rows in each.
+    """Parts of the range of a column with about ``rows`` rows in each, however the values are spread.
 
-    For keys with gaps, where a fixed number of key values may hold few rows.  The
-    range and the row count come from one scalar subquery.
+    Bounds come from one pass with a sketch of fixed size, made when the plan is built, so an outlier does not stretch the
+    parts; very large tables cut each part into equal slices.  Only rows of equal value always stay together.
     """
-    lo, hi = F.min(name).cast("double") / 2, F.max(name).cast("double") / 2
-    slices = F.ceil(F.count(name) / F.lit(rows))
-    scale = F.when(hi > lo, slices / (hi - lo)).otherwise(F.lit(0.0))
-    facts = df.select(F.struct(lo.alias("lo"), scale.alias("scale"))).scalar()
-    return F.floor(
-        (F.col(name).cast("double") / 2 - facts.getField("lo")) * facts.getField("scale")
-    ).cast("long")
+    return range_blocks(df, [name], rows)[0]
+
+
+def range_blocks(df: DataFrame, names: Sequence[str], rows: int = 1 << 20) -> list[Column]:
+    """:func:`range_block` for a composite key: where one value of a column fills parts by itself, the next column
+    cuts them further."""
+    numbers = [_number(df, n) for n in names]
+    # One row of bounded size reaches the driver; as literals, the bounds are the same in every task.
+    facts = df.select(F.count(F.lit(1)).alias("n"), *[bounds_of(v).alias(f"b{i}") for i, v in enumerate(numbers)]).first()
+    slices = max(1, -(-facts["n"] // (rows * (BOUNDS + 1))))
+    blocks, alone = [], F.lit(True)
+    for i, value in enumerate(numbers):
+        bounds = F.array(*[F.lit(float(x)) for x in facts[f"b{i}"] or []]).cast("array<double>")
+        place = place_among(bounds, value)
+        part = F.floor(place / 2).cast("int")
+        low, high = F.get(bounds, part - 1), F.get(bounds, part)
+        # Inside a part, equal slices of its own range; the outer parts have one open end and stay whole.
+        share = F.when((place % 2 == 0) & (high > low), (value - low) / (high - low)).otherwise(F.lit(0.0))
+        code = place.cast("long") * (1 << 32) + F.least(F.floor(share * slices), F.lit(slices - 1))
+        blocks.append(F.when(alone, code).otherwise(F.lit(0)).cast("long"))
+        alone = alone & (place % 2 == 1)
+    return blocks
 
 
 def hot_block(df: DataFrame, by: Sequence[str], block: Column, share: int = 4_096) -> Column:
@@ -81,10 +141,24 @@ class _Blocked:
         )
         self.group = [*self.by, *self.blocks]
         self.local = W.partitionBy(*self.group).orderBy(*self.order)
-        self.across = W.partitionBy(*self.by).orderBy(*self.blocks)
+        self.within = W.partitionBy(*self.by, "__super").orderBy(*self.blocks)
+        self.across = W.partitionBy(*self.by).orderBy("__super")
 
     def per_block(self, *aggs: Column) -> DataFrame:
-        return self.df.groupBy(*self.group).agg(*aggs)
+        """One row per block, with ``__super``: blocks next to each other, so that no task sorts them all."""
+        table = self.df.groupBy(*self.group).agg(*aggs)
+        first = F.col(self.blocks[0])
+        whole = isinstance(table.schema[self.blocks[0]].dataType, T.IntegralType)
+        return table.withColumn("__super", F.shiftright(first, SUPER_BITS) if whole else first)
+
+    def per_super(self, blocks: DataFrame, *aggs: Column) -> DataFrame:
+        return blocks.groupBy(*self.by, "__super").agg(*aggs)
+
+    def on(self, df: DataFrame) -> _Blocked:
+        """The same blocks over a frame with more columns."""
+        other = copy(self)
+        other.df = df
+        return other
 
     def carry_in(self, local: DataFrame, carried: DataFrame) -> DataFrame:
         return local.join(carried, on=self.group, how="left")
@@ -109,13 +183,17 @@ def running_sum(
         "__local", F.sum("__value").over(b.local.rowsBetween(W.unboundedPreceding, 0))
     )
     sums = b.per_block(F.sum("__value").alias("__sum"))
-    columns = [
-        *b.group,
-        F.sum("__sum").over(b.across.rowsBetween(W.unboundedPreceding, -1)).alias("__before"),
-    ]
+    columns = [*b.by, "__super", F.sum("__all").over(b.across.rowsBetween(W.unboundedPreceding, -1)).alias("__earlier")]
     if total:
-        columns.append(F.sum("__sum").over(W.partitionBy(*b.by)).alias("__total"))
-    joined = b.carry_in(local, sums.select(*columns))
+        columns.append(F.sum("__all").over(W.partitionBy(*b.by)).alias("__total"))
+    supers = b.per_super(sums, F.sum("__sum").alias("__all")).select(*columns)
+    inside = F.sum("__sum").over(b.within.rowsBetween(W.unboundedPreceding, -1))
+    carried = (
+        sums.withColumn("__inside", inside)
+        .join(supers, on=[*b.by, "__super"])
+        .withColumn("__before", F.coalesce("__inside", F.lit(0)) + F.coalesce("__earlier", F.lit(0)))
+    )
+    joined = b.carry_in(local, carried.select(*b.group, "__before", *(["__total"] if total else [])))
     extra = [
         (F.coalesce("__local", F.lit(0)) + F.coalesce("__before", F.lit(0))).alias(out)
     ]
@@ -150,14 +228,18 @@ def _neighbour(df, by, order, block, columns, step):
         # One maximum per column: Spark can hash-aggregate plain values, but has to
         # sort for a struct.
         kept = [edge(f"__picked.{n}", b.order[0]).alias(n) for n in columns]
-        edges = frame.groupBy(*b.group).agg(*kept).select(
-            *b.group, F.struct(*columns).alias("__edge")
-        )
+        edges = b.on(frame).per_block(*kept)
+        edges = edges.select(*b.group, "__super", F.struct(*columns).alias("__edge"))
     else:
-        edges = frame.groupBy(*b.group).agg(
-            edge("__picked", F.struct(*b.order)).alias("__edge")
-        )
-    carried = edges.select(*b.group, shift("__edge").over(b.across).alias("__far"))
+        edges = b.on(frame).per_block(edge("__picked", F.struct(*b.order)).alias("__edge"))
+    # The neighbouring block of the same super-block, or else the nearest block of the super-block beyond.
+    nearest = b.per_super(edges, edge("__edge", F.struct(*b.blocks)).alias("__edge"))
+    beyond = nearest.select(*b.by, "__super", shift("__edge").over(b.across).alias("__beyond"))
+    carried = (
+        edges.withColumn("__beside", shift("__edge").over(b.within))
+        .join(beyond, on=[*b.by, "__super"])
+        .select(*b.group, F.coalesce("__beside", "__beyond").alias("__far"))
+    )
     joined = b.carry_in(local, carried)
     near = F.coalesce("__near", "__far")
     return b.result(joined, *[near.getField(n).alias(n) for n in columns])

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import running_sum
+from .blocks import bounds_of, place_among, running_sum
 from .joins import salted_join
 
 MISSING_LATENCY = 9999.0
@@ -112,36 +112,30 @@ def best_case(
     metric: str,
     lower_is_better: bool = False,
     by: Sequence[str] = (),
-    slices: int = 1_024,
 ) -> DataFrame:
     """Add rank, a mark for the best, and percent slower than the best.
 
-    Runs with the same value share a rank.  Ranks are counted over the distinct
-    values, in slices of the value range, so no task sees all of them.
+    Runs with the same value share a rank.  Ranks are counted over the distinct values, in parts that hold about equal
+    numbers of them whatever their spread, so no task sees all values of a group.
     """
     by = list(by)
     keys = [*by, metric]
     counts = runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    value = F.col(metric).cast("double")
+    best = F.min(metric) if lower_is_better else F.max(metric)
+    facts = F.struct(bounds_of(value).alias("bounds"), best.alias("best")).alias("__facts")
     if by:
-        spans = counts.groupBy(*by).agg(F.min(metric).alias("__lo"), F.max(metric).alias("__hi"))
-        bounded = salted_join(counts, spans, by, "inner")
+        bounded = salted_join(counts, counts.groupBy(*by).agg(facts), by, "inner")
     else:
-        span = counts.select(
-            F.struct(F.min(metric).alias("lo"), F.max(metric).alias("hi"))
-        ).scalar()
-        bounded = counts.withColumn("__s", span).select(
-            *counts.columns, F.col("__s.lo").alias("__lo"), F.col("__s.hi").alias("__hi")
-        )
-    low, high, value = (F.col(c).cast("double") / 2 for c in ("__lo", "__hi", metric))
-    place = F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
+        bounded = counts.withColumn("__facts", counts.select(facts).scalar())
     sign = 1 if lower_is_better else -1
-    counted = running_sum(
-        bounded, by, [F.col(metric) * sign], [F.floor(place * slices) * sign], F.col("__c"), "__upto"
-    )
-    best = "__lo" if lower_is_better else "__hi"
-    ranked = counted.select(
-        *keys, (F.col("__upto") - F.col("__c") + 1).alias("rank"), F.col(best).alias("__best")
+    bounded = bounded.select(
+        *counts.columns,
+        F.col("__facts.best").alias("__best"),
+        (place_among(F.col("__facts.bounds"), value).cast("long") * sign).alias("__place"),
     )
+    counted = running_sum(bounded, by, [F.col(metric) * sign], ["__place"], F.col("__c"), "__upto")
+    ranked = counted.select(*keys, (F.col("__upto") - F.col("__c") + 1).alias("rank"), "__best")
     joined = salted_join(runs, ranked, keys, "left")
     mine, top = F.col(metric).cast("double"), F.col("__best").cast("double")
     ratio, divisor = (mine / top, top) if lower_is_better else (top / mine, mine)
@@ -164,9 +158,9 @@ def time_at_scale(
 
 
 def case_matrix(
-    runs: DataFrame, case: str, metrics: Sequence[str], cases: Sequence[str] | None = None
+    runs: DataFrame, case: str, metrics: Sequence[str], cases: Sequence[str]
 ) -> DataFrame:
-    """One row per metric, one column per case."""
+    """One row per metric, one column for each of ``cases``."""
     long = runs.select(
         case,
         F.explode(
@@ -178,9 +172,7 @@ def case_matrix(
             )
         ).alias("__m"),
     ).select(case, "__m.metric", "__m.value")
-    grouped = long.groupBy("metric")
-    pivoted = grouped.pivot(case, list(cases)) if cases else grouped.pivot(case)
-    return pivoted.agg(F.max("value"))
+    return long.groupBy("metric").pivot(case, list(cases)).agg(F.max("value"))
 
 
 def system_matrix(

@@ -22,6 +22,18 @@ def _position(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
+def settling(change: DataFrame, op: str = "op", flag: str = "is_tombstone") -> DataFrame:
+    """Events that say what a row is: reads, changes, deletes and tombstones.
+
+    A tombstone is an event flagged as one.  Events with an unknown operation, and events without an
+    operation that are no tombstones (text that could not be decoded), say nothing about a row.
+    """
+    known = F.coalesce(F.col(op).isin(*LIVE_OPS, "d"), F.lit(False))
+    if flag in change.columns:
+        known = known | (F.col(op).isNull() & F.coalesce(F.col(flag), F.lit(False)))
+    return change.where(known)
+
+
 def latest_per_key(
     change: DataFrame, pk: Sequence[str], order: Sequence[str] = POSITION
 ) -> DataFrame:
@@ -41,10 +53,9 @@ def materialize(
 ) -> DataFrame:
     """Current rows: the latest event per key, unless it is a delete or tombstone.
 
-    Events with an operation other than r, c, u or d carry no row and are skipped.
+    Events that :func:`settling` leaves out are skipped.
     """
-    relevant = change.where(F.col(op).isNull() | F.col(op).isin(*LIVE_OPS, "d"))
-    return latest_per_key(relevant, pk, order).where(F.col(op).isin(*LIVE_OPS))
+    return latest_per_key(settling(change, op), pk, order).where(F.col(op).isin(*LIVE_OPS))
 
 
 def state_as_of(

@@ -9,15 +9,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.blocks import Key, range_block, row_index
+from ..operators.blocks import Key, range_blocks, row_index
 from ..operators.filters import with_condition
-from ..operators.joins import salted_join
+from ..operators.joins import hot_key_join
 from ..schema import SIGNAL_SCHEMA
 
-# Up to this chunk size, the stale keys of a chunk are kept in one array.
-LISTED_KEYS = 8_192
+# Position of a read whose chunk has no window: before every change, so any change of the key wins.
+BEFORE_ALL = -1
 
 
 def chunk_number(key: str, first_key, size: int) -> Column:
@@ -37,7 +38,7 @@ def with_chunks(
     ``key_range`` chunks hold ``size`` values of one whole-number key and are computed
     per row; ``rows`` chunks hold ``size`` rows in key order, also of a composite key,
     and need a global row number.  ``block`` cuts the key order (see
-    :mod:`changeloom.operators.blocks`); by default, equal slices of the first column.
+    :mod:`changeloom.operators.blocks`); by default, parts with about equal row counts.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     if mode == "key_range":
@@ -46,7 +47,7 @@ def with_chunks(
         lowest = df.select(F.min(keys[0]).alias("k")).scalar()
         return df.withColumn("chunk_id", chunk_number(keys[0], lowest, size))
     if mode == "rows":
-        ranked = row_index(df, [], keys, block or [range_block(df, keys[0])], "__rank")
+        ranked = row_index(df, [], keys, block or range_blocks(df, keys), "__rank")
         return ranked.withColumn(
             "chunk_id", F.floor(F.col("__rank") / F.lit(size)).cast("long")
         ).drop("__rank")
@@ -95,8 +96,8 @@ def stale_keys(
     """Keys and chunks whose read met a live event inside the chunk's window.
 
     Reads are first reduced to keys that have live events at all; only those are
-    joined to the live events, spread over salts because one key may hold a large
-    share of the changes.
+    joined to the live events.  A key may hold a large share of the changes, so hot keys
+    are found first and spread.
     """
     pk = list(pk)
     narrow = live.select(*pk, F.col(position).alias("__pos"))
@@ -106,7 +107,7 @@ def stale_keys(
         .join(changed, on=pk, how="left_semi")
         .join(windows.select("chunk_id", "open_pos", "close_pos"), on="chunk_id")
     )
-    met = salted_join(narrow, touched, pk, "inner").where(
+    met = hot_key_join(narrow, touched, pk, "inner").where(
         F.col("__pos").between(F.col("open_pos"), F.col("close_pos"))
     )
     return met.select(*pk, "chunk_id").distinct()
@@ -123,48 +124,50 @@ def discard_stale_reads(
 def incremental_snapshot(
     df: DataFrame,
     live: DataFrame,
-    pk: str,
+    pk: str | Sequence[str],
     size: int,
     windows: DataFrame,
     position: str = "lsn",
     condition: str | None = None,
     chunks: DataFrame | None = None,
+    mode: str = "key_range",
+    block: Sequence[Key] = (),
+    missing: str = "keep",
 ) -> DataFrame:
     """Reads that survive a chunked backfill, each at its window's close position.
 
-    ``live`` holds the changes with ``pk`` and ``position``.  Windows name the log
-    positions between which each chunk was read.  ``chunks`` limits the run to the
-    chunks still to do.  Live events are given their chunk by the same arithmetic
-    as the reads, so no lookup of keys in chunks is needed.
+    ``live`` holds the changes with the key and ``position``.  Windows name the log positions between which
+    each chunk was read; ``chunks`` limits the run to the chunks still to do.  Chunks are those of
+    :func:`with_chunks`: key ranges of one whole-number key, or (``mode='rows'``) equal numbers of rows of any key,
+    composite or text.  A chunk without a window keeps its reads at ``BEFORE_ALL``, or fails with ``missing='raise'``.
     """
-    lowest = df.select(F.min(pk).alias("k")).scalar()
-    numbered = df.withColumn("chunk_id", chunk_number(pk, lowest, size))
+    if missing not in ("keep", "raise"):
+        raise ValueError("missing is 'keep' or 'raise'")
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    numbered = with_chunks(df, pk, size, mode, block)
     reads = with_condition(numbered, condition)
     if chunks is not None:
         reads = reads.join(chunks.select("chunk_id").distinct(), on="chunk_id", how="left_semi")
     spans = windows.select("chunk_id", "open_pos", "close_pos")
-    placed = live.select(F.col(pk), F.col(position).alias("__pos")).withColumn(
-        "chunk_id", chunk_number(pk, lowest, size)
+    if mode == "key_range":
+        # A live event's chunk follows from its key, so only chunks have to be looked up.
+        lowest = df.select(F.min(keys[0]).alias("k")).scalar()
+        placed = live.select(*keys, F.col(position).alias("__pos"), chunk_number(keys[0], lowest, size).alias("chunk_id"))
+        met = hot_key_join(placed, spans, ["chunk_id"], "inner")
+        stale = met.where(F.col("__pos").between(F.col("open_pos"), F.col("close_pos"))).select("chunk_id", *keys).distinct()
+    else:
+        stale = stale_keys(reads.select(*keys, "chunk_id"), live, windows, keys, position)
+    kept = reads.join(stale, on=["chunk_id", *keys], how="left_anti")
+    closing = spans.select("chunk_id", F.col("close_pos").alias("__close"))
+    without = (
+        F.lit(BEFORE_ALL).cast("long")
+        if missing == "keep"
+        else F.raise_error(F.concat(F.lit("no window for chunk "), F.col("chunk_id").cast("string"))).cast("long")
     )
-    stale = (
-        salted_join(placed, spans, ["chunk_id"], "inner")
-        .where(F.col("__pos").between(F.col("open_pos"), F.col("close_pos")))
-        .select(pk, "chunk_id")
-        .distinct()
+    at = F.when(F.col("__close").isNotNull(), F.col("__close")).otherwise(without)
+    return kept.join(closing, on="chunk_id", how="left").select(
+        *df.columns, "chunk_id", F.lit("r").alias("op"), at.alias(position)
     )
-    closing = spans.select("chunk_id", F.col("close_pos").alias(position))
-    if size <= LISTED_KEYS:
-        # A chunk has at most ``size`` keys, so its stale keys fit in one narrow row
-        # and full rows are joined once, by chunk.
-        listed = stale.groupBy("chunk_id").agg(F.collect_list(pk).alias("__stale"))
-        narrow = closing.join(listed, on="chunk_id", how="left")
-        hit = F.coalesce(F.array_contains("__stale", F.col(pk)), F.lit(False))
-        kept = reads.join(narrow, on="chunk_id").where(~hit)
-    else:
-        kept = reads.join(stale, on=[pk, "chunk_id"], how="left_anti").join(
-            closing, on="chunk_id"
-        )
-    return kept.select(*df.columns, "chunk_id", F.lit("r").alias("op"), position)
 
 
 def interleave(reads: DataFrame, live: DataFrame) -> DataFrame:
@@ -178,7 +181,7 @@ def parse_signals(log: DataFrame, prefix: str) -> DataFrame:
     One row per signal and collection, with its place in the list.
     """
     parsed = log.select(
-        "offset", "key", F.from_json(F.col("value").cast("string"), SIGNAL_SCHEMA).alias("__s")
+        "offset", F.col("key").cast("string").alias("key"), F.from_json(F.col("value").cast("string"), SIGNAL_SCHEMA).alias("__s")
     )
     reason = (
         F.when(~F.col("key").eqNullSafe(F.lit(prefix)), "key does not match the prefix")
@@ -227,14 +230,18 @@ def apply_stop(
     table began; a stop from before that does not touch it.
     """
     keys = [table, "snapshot_pos"]
-    begun = chunks.select(*keys).distinct()
+    # Snapshots and stops of a table in order of position; each snapshot looks ahead to the next stop.
+    begun = chunks.select(*keys, F.lit(None).cast("long").alias("__stop")).distinct()
+    stopped = stops.select(table, F.col(position).alias("snapshot_pos"), F.col(position).cast("long").alias("__stop"))
+    ahead = W.partitionBy(table).orderBy("snapshot_pos").rangeBetween(W.currentRow, W.unboundedFollowing)
     first = (
-        salted_join(stops.select(table, F.col(position).alias("__stop")), begun, [table], "inner")
-        .where(F.col("__stop") >= F.col("snapshot_pos"))
-        .groupBy(*keys)
-        .agg(F.min("__stop").alias("__stop"))
+        begun.withColumn("__begins", F.lit(True))
+        .unionByName(stopped.distinct().withColumn("__begins", F.lit(False)))
+        .withColumn("__stop", F.min("__stop").over(ahead))
+        .where("__begins")
+        .select(*keys, "__stop")
     )
-    joined = salted_join(chunks, first, keys, "left")
+    joined = hot_key_join(chunks, first, keys, "left")
     return joined.where(
         F.col("__stop").isNull() | (F.col("open_pos") <= F.col("__stop"))
     ).select(*chunks.columns)

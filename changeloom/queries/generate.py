@@ -23,12 +23,14 @@ def multiply_rows(spark, sf):
 @query("""WITH numbered AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS idx FROM supplier),
 many AS (SELECT s_suppkey, copy_no, idx * 40 + copy_no AS row_key
   FROM numbered, (SELECT CAST(unnest(range(1, 41)) AS INTEGER) AS copy_no) m)
-SELECT s_suppkey, copy_no, row_key FROM many WHERE row_key <= 2000000""")
+SELECT s_suppkey, copy_no, row_key FROM many WHERE row_key <= (SELECT count(*) * 20 FROM supplier)""")
 def multiply_rows_keyed(spark, sf):
     numbered = S.surrogate_key(
         table(spark, sf, "supplier").select("s_suppkey"), ["s_suppkey"], [long_block("s_suppkey")], "idx", 0
     )
-    return J.multiply_rows(numbered, 40, limit=2_000_000, index="idx").drop("idx")
+    # The first half of all copies: the row limit is the feature, and it grows with the table.
+    half = numbered.select(F.count(F.lit(1)) * 20).scalar()
+    return J.multiply_rows(numbered, 40, limit=half, index="idx").drop("idx")
 
 
 @query(f"""WITH raw AS (
@@ -53,29 +55,6 @@ def gen_order_details(spark, sf):
     )
 
 
-_OPERATION_SQL = f"""CASE WHEN {seeded_sql('event_id', 'operation0')} % 100 < 30 THEN 'insert_person'
-  WHEN {seeded_sql('event_id', 'operation0')} % 100 < 55 THEN 'update_person'
-  WHEN {seeded_sql('event_id', 'operation0')} % 100 < 75 THEN 'insert_product'
-  WHEN {seeded_sql('event_id', 'operation0')} % 100 < 90 THEN 'update_product' ELSE 'delete_person' END"""
-
-
-@query(f"""WITH ops AS (SELECT event_id AS seq, {_OPERATION_SQL} AS operation, {seeded_sql('event_id', 'target0')} AS t,
-   {seeded_sql('event_id', 'first0')} % 8 AS f, {seeded_sql('event_id', 'promo0')} % 3 AS p FROM events)
-SELECT seq, operation, CASE WHEN operation LIKE '%person' THEN 'Person' ELSE 'Product' END AS "table",
-  CASE substr(operation, 1, 1) WHEN 'i' THEN 'c' ELSE substr(operation, 1, 1) END AS op,
-  CASE WHEN operation LIKE 'insert%' THEN seq + 1000000 WHEN operation = 'delete_person' THEN t % greatest(seq, 1) + 1000000
-       ELSE t % 1000 + 1 END AS pk,
-  CASE WHEN operation LIKE '%person' THEN ['Alice', 'Bob', 'Charlie', 'Diana', 'Eve', 'Frank', 'Grace', 'Hank'][f + 1] END AS first_name,
-  CASE WHEN operation LIKE '%person' THEN CAST(p AS VARCHAR) END AS email_promotion
-FROM ops""")
-def gen_changes(spark, sf):
-    changes = G.gen_changes(table(spark, sf, "events"), key="event_id")
-    return changes.select(
-        "seq", "operation", "table", "op", "pk", "first_name",
-        F.col("email_promotion").cast("string").alias("email_promotion"),
-    )
-
-
 @query(f"""SELECT p_partkey, p_name FROM part ORDER BY {seeded_sql('p_partkey', '7')}, p_partkey LIMIT 1""")
 def random_row(spark, sf):
     return G.random_row(table(spark, sf, "part").select("p_partkey", "p_name"), "p_partkey", "7")

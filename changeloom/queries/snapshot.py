@@ -199,6 +199,29 @@ def incremental_state(spark, sf):
     return S.materialize(log, ["o_orderkey"], ["lsn", "side"]).drop("side")
 
 
+_ITEM_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query(f"""WITH items AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(count(*) AS BIGINT) AS copies FROM lineitem GROUP BY ALL),
+base AS (
+  SELECT *, (row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) // {CHUNK} AS chunk_id FROM items),
+live AS (
+  SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT) * 1000 + l_orderkey % 997 AS lsn FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, copies, chunk_id, 'r' AS op, chunk_id * 200 + 199 AS lsn FROM base b
+WHERE NOT EXISTS (SELECT 1 FROM live l WHERE l.l_orderkey = b.l_orderkey AND l.l_linenumber = b.l_linenumber
+  AND l.l_partkey = b.l_partkey AND l.l_suppkey = b.l_suppkey AND l.lsn BETWEEN b.chunk_id * 200 AND b.chunk_id * 200 + 199)""")
+def incremental_snapshot_composite(spark, sf):
+    """Line items backfilled by their four-column key while their quantities change."""
+    lines = table(spark, sf, "lineitem")
+    items = lines.groupBy(*_ITEM_KEYS).agg(F.count(F.lit(1)).alias("copies"))
+    position = F.col("l_quantity").cast("long") * 1000 + F.col("l_orderkey") % 997
+    live = lines.select(*_ITEM_KEYS, position.alias("lsn")).distinct()
+    chunks = I.plan_chunks(items, _ITEM_KEYS, CHUNK, "rows")
+    windows = I.sequential_windows(chunks, 200)
+    return I.incremental_snapshot(items, live, _ITEM_KEYS, CHUNK, windows, mode="rows")
+
+
 @query(f"""WITH {LIVE_SQL},
 base AS (SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk_id FROM orders)
 SELECT o_orderkey, o_totalprice, chunk_id FROM base b WHERE NOT EXISTS (

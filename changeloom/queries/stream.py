@@ -111,10 +111,14 @@ def stream_backfill(spark, sf):
     ).select("m.kind", "chunk_id", "m.lsn")
     live = live_changes(spark, sf).select(F.lit("live").alias("kind"), "*", chunk)
     log = reads.unionByName(live).unionByName(edges, allowMissingColumns=True)
-    # Written in log order, so that each window closes after the changes inside it.
-    log.select("kind", *columns).sort("lsn").write.parquet(f"{root}/log")
-    stream = spark.readStream.schema(spark.read.parquet(f"{root}/log").schema).parquet(f"{root}/log")
+    # Files without any order, a few per batch: reads and changes also come after their window has closed.
+    log.select("kind", *columns).repartition(6, F.xxhash64("kind", "lsn", "o_orderkey")).write.parquet(f"{root}/log")
+    stream = (
+        spark.readStream.schema(spark.read.parquet(f"{root}/log").schema)
+        .option("maxFilesPerTrigger", "2")
+        .parquet(f"{root}/log")
+    )
     K.backfill_stream(
         stream, f"{root}/staging", f"{root}/table", ["o_orderkey"], f"{root}/checkpoint"
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/table").select("o_orderkey", "lsn", "op", "o_totalprice")
+    return K.backfilled(spark, f"{root}/table").select("o_orderkey", "lsn", "op", "o_totalprice")

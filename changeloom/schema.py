@@ -6,15 +6,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
-# One record of a partitioned log; the same columns the Kafka source gives.
+# One record of a partitioned log; the same columns the Kafka source gives.  Key and value are bytes.
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
         T.StructField("timestamp", T.TimestampType()),
-        T.StructField("key", T.StringType()),
-        T.StructField("value", T.StringType()),
+        T.StructField("key", T.BinaryType()),
+        T.StructField("value", T.BinaryType()),
     ]
 )
 

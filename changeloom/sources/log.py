@@ -26,7 +26,10 @@ def read_log(
     position: str | dict = "earliest",
     **options: str,
 ) -> DataFrame:
-    """Topic records, in batch or as a stream."""
+    """Topic records, in batch or as a stream; key and value are bytes.
+
+    A parquet log lies in one folder per topic, so only the folders of ``topics`` are read.
+    """
     reader = spark.readStream if stream else spark.read
     if bootstrap:
         starting = position if isinstance(position, str) else json.dumps(position)
@@ -39,7 +42,7 @@ def read_log(
             .load()
             .drop("timestampType")
         )
-    log = reader.schema(LOG_SCHEMA).options(**options).parquet(path)
+    log = reader.schema(LOG_SCHEMA).options(**options).parquet(path).select(*LOG_SCHEMA.names)
     log = log.where(F.col("topic").isin(*topics)) if topics else log
     return from_position(log, position)
 
@@ -55,6 +58,9 @@ def select_topics(log: DataFrame, names: Sequence[str], topics: dict[str, str])
 def from_position(log: DataFrame, position: str | dict = "earliest") -> DataFrame:
     """Records from ``earliest``, ``latest`` or ``{topic: {partition: offset}}`` on.
 
+    Partitions of a named topic for which no offset is given are read from their start; topics not
+    named are left out.
+
     ``latest`` starts after the last record that exists, so a batch gives none; on
     Kafka, pass it to :func:`read_log`, which hands it to the connector.
     """
@@ -66,12 +72,10 @@ def from_position(log: DataFrame, position: str | dict = "earliest") -> DataFram
         return log.where(F.lit(False))
     keep: Column = F.lit(False)
     for topic, partitions in position.items():
+        reached = ~F.col("partition").isin(*[int(p) for p in partitions])
         for partition, offset in partitions.items():
-            keep = keep | (
-                (F.col("topic") == topic)
-                & (F.col("partition") == int(partition))
-                & (F.col("offset") >= int(offset))
-            )
+            reached = reached | ((F.col("partition") == int(partition)) & (F.col("offset") >= int(offset)))
+        keep = keep | ((F.col("topic") == topic) & reached)
     return log.where(keep)
 
 
@@ -121,8 +125,14 @@ def publish(
     )
 
 
-def write_log(log: DataFrame, path: str | None = None, bootstrap: str | None = None) -> None:
-    """Append records to a parquet log by topic, or send them to Kafka."""
+def write_log(
+    log: DataFrame, path: str | None = None, bootstrap: str | None = None, batch: str | None = None
+) -> None:
+    """Add records to a parquet log, one folder per topic, or send them to Kafka.
+
+    A ``batch`` has a folder of its own in each topic, which a retry replaces; without one, records are appended and a
+    retry repeats them.
+    """
     if bootstrap:
         (
             log.select("topic", "partition", "key", "value")
@@ -130,5 +140,15 @@ def write_log(log: DataFrame, path: str | None = None, bootstrap: str | None = N
             .option("kafka.bootstrap.servers", bootstrap)
             .save()
         )
+        return
+    names = [f.name for f in LOG_SCHEMA]
+    stored = log.select(
+        *[F.col(f.name).cast(f.dataType) for f in LOG_SCHEMA],
+        *[c for c in log.columns if c not in names],
+        F.lit(batch or "").alias("batch"),
+    )
+    writer = stored.write.partitionBy("topic", "batch")
+    if batch is None:
+        writer.mode("append").parquet(path)
     else:
-        log.write.mode("append").parquet(path)
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

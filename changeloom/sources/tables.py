@@ -2,15 +2,46 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.state import latest_per_key
+from ..operators.state import latest_per_key, settling
 from ..plans.snapshot import check_bounds
 
 
+def sql_literal(value) -> str:
+    """A value as standard SQL text."""
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, float):
+        return repr(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    raise TypeError(f"no SQL literal for {type(value).__name__}")
+
+
+def range_predicates(key: str, bounds: Sequence[tuple]) -> list[str]:
+    """One condition per key range; together they hold once for each row.  Null keys go to the first."""
+    check_bounds(bounds)
+    predicates = []
+    for number, (lo, hi) in enumerate(bounds):
+        parts = [f"{key} >= {sql_literal(lo)}"] if lo is not None else []
+        parts += [f"{key} < {sql_literal(hi)}"] if hi is not None else []
+        held = " AND ".join(parts) or "1 = 1"
+        predicates.append(f"({held}) OR {key} IS NULL" if number == 0 and parts else held)
+    return predicates
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,
@@ -22,12 +53,9 @@ def read_jdbc(
     """A database table, read as parallel key ranges when ``bounds`` are given."""
     if not bounds:
         return spark.read.jdbc(url, table, properties=properties)
-    check_bounds(bounds)
-    predicates = []
-    for lo, hi in bounds:
-        parts = [f"{key} >= {lo!r}"] if lo is not None else []
-        parts += [f"{key} < {hi!r}"] if hi is not None else []
-        predicates.append(" AND ".join(parts) or "1 = 1")
+    if not key:
+        raise ValueError("bounds need the column they are for")
+    predicates = range_predicates(key, bounds)
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
 
 
@@ -37,9 +65,11 @@ def upsert_batch(
     """Write one micro-batch of flattened rows: the latest row per key.
 
     Each batch has its own directory, replaced when the batch is retried, so a
-    retry changes nothing and no earlier data is rewritten.
+    retry changes nothing and no earlier data is rewritten.  Where rows carry an
+    operation, events that say nothing about a row are left out first, as in a batch.
     """
-    latest_per_key(batch, pk, order).write.mode("overwrite").parquet(
+    rows = settling(batch) if "op" in batch.columns else batch
+    latest_per_key(rows, pk, order).write.mode("overwrite").parquet(
         f"{target}/batch_id={batch_id}"
     )
 
@@ -64,14 +94,51 @@ def read_upserted(
     deleted: str = "__deleted",
 ) -> DataFrame:
     """The table in ``target``: latest row per key over all batches, without deletes."""
-    rows = spark.read.parquet(target).drop("batch_id")
+    rows = _batches(spark, target)
     latest = latest_per_key(rows, pk, order)
     return latest.where(F.col(deleted) == "false").drop(deleted) if deleted in rows.columns else latest
 
 
-def compact_target(
-    spark: SparkSession, target: str, new_target: str, pk: Sequence[str], order: Sequence[str]
-) -> None:
-    """Rewrite all batches as one, in a new directory."""
-    rows = spark.read.parquet(target).drop("batch_id")
-    latest_per_key(rows, pk, order).write.mode("errorifexists").parquet(f"{new_target}/batch_id=-1")
+def _batches(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of the newest base, if there is one, and of the batches after it."""
+    batches = spark.read.parquet(target)
+    bases = _bases(spark, target)
+    if not bases:
+        return batches.drop("batch_id")
+    upto = max(bases)
+    later = batches.where(F.col("batch_id") > upto).drop("batch_id")
+    return spark.read.schema(later.schema).parquet(f"{base_folder(target)}/upto={upto}").unionByName(later)
+
+
+def base_folder(target: str) -> str:
+    """Where compacted batches lie: beside the batches, so that a running sink is not disturbed."""
+    return f"{target.rstrip('/')}-base"
+
+
+def _bases(spark: SparkSession, target: str) -> list[int]:
+    """Numbers of the last batch in each finished base; a base counts once its success mark is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base_folder(target)}/upto=*/_SUCCESS")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.globStatus(path) or []
+    return [int(f.getPath().getParent().getName().removeprefix("upto=")) for f in found]
+
+
+def compact_target(spark: SparkSession, target: str, pk: Sequence[str], order: Sequence[str]) -> int | None:
+    """Merge all batches so far into a new base, which readers use from then on; returns the last batch merged.
+
+    The sink may go on writing: later batches are read on top of the base.  Folders of merged batches and older
+    bases may then be removed.
+    """
+    last = spark.read.parquet(target).agg(F.max("batch_id")).first()[0]
+    bases = _bases(spark, target)
+    if last is None or (bases and max(bases) >= last):
+        return max(bases, default=None)
+    merged = spark.read.parquet(target).where(F.col("batch_id") <= last)
+    if bases:
+        rows = merged.where(F.col("batch_id") > max(bases)).drop("batch_id")
+        held = spark.read.schema(rows.schema).parquet(f"{base_folder(target)}/upto={max(bases)}")
+        rows = held.unionByName(rows)
+    else:
+        rows = merged.drop("batch_id")
+    latest_per_key(rows, pk, order).write.mode("overwrite").parquet(f"{base_folder(target)}/upto={last}")
+    return int(last)

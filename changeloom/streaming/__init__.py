@@ -1,6 +1,6 @@
 """Structured Streaming entry points."""
 
-from .backfill import backfill_stream  # noqa: F401
+from .backfill import backfill_stream, backfilled, trim_staging  # noqa: F401
 from .jobs import (  # noqa: F401
     consume_once,
     console_summary,

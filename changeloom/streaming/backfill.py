@@ -1,20 +1,22 @@
 """Chunked backfill as a stream: reads wait until the window of their chunk closes.
 
-One log carries snapshot reads, live changes and the markers that open and close
-the window of a chunk, in log order.  Reads and live changes are staged by chunk;
-the batch that brings a closing marker settles that chunk.
+One log carries snapshot reads, live changes and the markers that open and close the window of a chunk.  Its
+rows may arrive in any order, as they do from several partitions or files.  All rows are staged by chunk.  A batch settles
+every chunk it brings rows of, as soon as both edges of the window are known; when rows of a settled chunk arrive
+later, the chunk is settled again from all its rows, and readers use its last settlement.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import hot_key_join
 from ..plans.incremental import discard_stale_reads
 
-# Chunks per staging directory: closing a chunk reads only its directory.
+# Chunks per staging directory: settling a chunk reads only its directory.
 CHUNKS_PER_BUCKET = 64
 KINDS = ("read", "live", "open", "close")
 
@@ -27,9 +29,9 @@ def settle_batch(
     pk: Sequence[str],
     position: str = "lsn",
 ) -> None:
-    """Stage one micro-batch, then write its live changes and the settled reads.
+    """Stage one micro-batch, then write its live changes and the chunks it settles.
 
-    Both directories are per batch and replaced on a retry.
+    All directories are per batch and replaced on a retry.
     """
     spark = batch.sparkSession
     placed = batch.withColumn(
@@ -38,27 +40,78 @@ def settle_batch(
     placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{staging}/batch_id={batch_id}")
 
     # From here on the staged files are read, so the source is read once per batch.
-    everything = spark.read.schema(staged_schema(placed)).parquet(staging)
-    staged = everything.where(F.col("batch_id") <= batch_id)
-    current = everything.where(F.col("batch_id") == batch_id)
-    closed = current.where(F.col("kind") == "close").select(
-        "bucket", "chunk_id", F.col(position).alias("close_pos")
-    )
-    concerned = staged.join(closed, on=["bucket", "chunk_id"])
-    windows = concerned.where(F.col("kind") == "open").select(
-        "chunk_id", F.col(position).alias("open_pos"), "close_pos"
-    )
-    reads = concerned.where(F.col("kind") == "read")
+    staged = _staged(spark, staging, placed, batch_id)
+    current = staged.where(F.col("batch_id") == batch_id)
+    chunk = ["bucket", "chunk_id"]
+    touched = current.select(*chunk).distinct()
+    concerned = hot_key_join(staged, touched, chunk, "left_semi")
+    windows = _closed(concerned, position)
+    settled_chunks = windows.select("chunk_id")
+    reads = hot_key_join(concerned.where(F.col("kind") == "read"), windows, chunk, "inner")
     live = concerned.where(F.col("kind") == "live").select(*pk, position)
     kept = discard_stale_reads(reads, live, windows, pk, position)
-    settled = kept.withColumn(position, F.col("close_pos")).select(*batch.columns)
-    out = settled.unionByName(current.where(F.col("kind") == "live").select(*batch.columns))
-    out.drop("kind", "chunk_id").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+    settled = kept.withColumn(position, F.col("close_pos")).select(*batch.columns).drop("kind")
+    settled.write.mode("overwrite").parquet(f"{target}/settled/batch_id={batch_id}")
+    changes = current.where(F.col("kind") == "live").select(*batch.columns).drop("kind", "chunk_id")
+    changes.write.mode("overwrite").parquet(f"{target}/live/batch_id={batch_id}")
+    # Last, so that a chunk counts as settled by this batch once its reads are there.
+    settled_chunks.write.mode("overwrite").parquet(f"{target}/versions/batch_id={batch_id}")
+
+
+def _closed(staged: DataFrame, position: str) -> DataFrame:
+    """Chunks of which both edges are known, with their positions."""
+
+    def edge(kind, pick):
+        return pick(F.when(F.col("kind") == kind, F.col(position)))
+
+    edges = staged.where(F.col("kind").isin("open", "close")).groupBy("bucket", "chunk_id").agg(
+        edge("open", F.min).alias("open_pos"), edge("close", F.max).alias("close_pos")
+    )
+    return edges.where("open_pos IS NOT NULL AND close_pos IS NOT NULL")
+
 
+def backfilled(spark: SparkSession, target: str) -> DataFrame:
+    """All live changes, and the reads of each chunk as its last batch settled them."""
+    versions = spark.read.parquet(f"{target}/versions").groupBy("chunk_id").agg(F.max("batch_id").alias("batch_id"))
+    settled = spark.read.parquet(f"{target}/settled")
+    reads = hot_key_join(settled, versions, ["chunk_id", "batch_id"], "left_semi")
+    live = spark.read.parquet(f"{target}/live").drop("batch_id")
+    return live.unionByName(reads.select(*live.columns))
 
-def staged_schema(placed: DataFrame) -> str:
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema]
-    return ", ".join([*fields, "batch_id bigint"])
+
+def _folders(spark: SparkSession, staging: str) -> tuple[int, list[int]]:
+    """The last batch that has been trimmed (-1 if none) and the numbers of all folders to read."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{staging}/batch_id=*/_SUCCESS")
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getParent().getName() for f in system.globStatus(path) or []]
+    numbers = [int(n.removeprefix("batch_id=")) for n in names]
+    trimmed = max((-2 - n for n in numbers if n < 0), default=-1)
+    return trimmed, [n for n in numbers if n > trimmed or n == -2 - trimmed and trimmed >= 0]
+
+
+def _staged(spark: SparkSession, staging: str, placed: DataFrame, upto: int) -> DataFrame:
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in placed.schema)
+    _, numbers = _folders(spark, staging)
+    paths = [f"{staging}/batch_id={n}" for n in numbers if n <= upto]
+    return spark.read.schema(f"{fields}, batch_id bigint").option("basePath", staging).parquet(*paths)
+
+
+def trim_staging(spark: SparkSession, staging: str, position: str = "lsn", upto: int | None = None) -> int:
+    """Forget staged rows of chunks whose window is closed, and merge the rest of the batches up to ``upto``.
+
+    Call it when no more rows of these chunks can arrive, that is, when all partitions of the log are past
+    their windows.  Without it, staging grows by every batch.  Returns the last batch merged; folders of merged batches are no
+    longer read and may be removed.
+    """
+    trimmed, numbers = _folders(spark, staging)
+    last = max([n for n in numbers if n >= 0 and (upto is None or n <= upto)], default=trimmed)
+    if last <= trimmed:
+        return trimmed
+    paths = [f"{staging}/batch_id={n}" for n in numbers if n <= last]
+    staged = spark.read.option("basePath", staging).parquet(*paths).drop("batch_id")
+    rest = hot_key_join(staged, _closed(staged, position), ["bucket", "chunk_id"], "left_anti")
+    rest.write.mode("overwrite").partitionBy("bucket").parquet(f"{staging}/batch_id={-2 - last}")
+    return last
 
 
 def backfill_stream(
@@ -69,7 +122,7 @@ def backfill_stream(
     checkpoint: str,
     position: str = "lsn",
 ):
-    """Run :func:`settle_batch` over a stream; returns the query.
+    """Run :func:`settle_batch` over a stream; returns the query.  :func:`backfilled` reads the result.
 
     ``log`` has kind (read, live, open, close), chunk_id, the key, the position and
     the row.  Live changes carry the chunk their key belongs to.

@@ -103,3 +103,41 @@ def test_hot_groups_only_are_cut(data, share):
     assert rows(got) == rows(data.withColumn("p", F.lag("v").over(by_seq())))
     got = B.row_index(data, ["g"], ["seq"], [block], "i")
     assert rows(got) == rows(data.withColumn("i", (F.row_number().over(by_seq()) - 1).cast("long")))
+
+
+def largest_block(df, blocks):
+    return df.groupBy(*blocks).count().agg(F.max("count")).first()[0]
+
+
+def test_range_blocks_of_uneven_keys(spark):
+    """An outlier, a constant first key, and a value with a third of all rows."""
+    outlier = spark.range(0, 20_000).union(spark.createDataFrame([(10**15,)], "id long"))
+    assert largest_block(outlier, [B.range_block(outlier, "id", 500)]) <= 500
+    constant = spark.range(0, 20_000).select(F.lit(7).alias("a"), "id")
+    assert largest_block(constant, B.range_blocks(constant, ["a", "id"], 500)) <= 500
+    third = spark.range(0, 30_000).select(F.when(F.col("id") % 3 == 0, 5_000).otherwise(F.col("id")).alias("a"), "id")
+    blocks = B.range_blocks(third, ["a", "id"], 500)
+    assert largest_block(third, blocks) <= 500
+    text = spark.range(0, 5_000).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("s"))
+    for df, keys in ((outlier, ["id"]), (constant, ["a", "id"]), (third, ["a", "id"]), (text, ["s"])):
+        numbered = B.row_index(df, [], keys, B.range_blocks(df, keys, 500), "n")
+        want = {tuple(r): i for i, r in enumerate(sorted(map(tuple, df.collect())))}
+        assert {tuple(r)[:-1]: r.n for r in numbered.collect()} == want
+
+
+@pytest.mark.parametrize("bits", [0, 2, 12])
+def test_super_blocks_carry_everything(spark, monkeypatch, bits):
+    monkeypatch.setattr(B, "SUPER_BITS", bits)
+    df = spark.range(0, 3_000).select((F.col("id") * 7 % 3_001).alias("k"), F.lit("g").alias("g"), (F.col("id") % 5).alias("v"))
+    data = sorted(map(tuple, df.collect()))
+    total, want = 0, {}
+    for n, (k, _, v) in enumerate(data):
+        total += v
+        want[k] = (n, total, data[n - 1][0] if n else None, data[n + 1][0] if n + 1 < len(data) else None)
+    for by in ([], ["g"]):
+        block = [B.long_block("k", 4)]
+        found = B.row_index(df, by, ["k"], block, "n")
+        found = B.running_sum(found, by, ["k"], block, F.col("v"), "s")
+        found = B.previous(found, by, ["k"], block, {"p": "k"})
+        found = B.following(found, by, ["k"], block, {"f": "k"})
+        assert {r.k: (r.n, r.s, r.p, r.f) for r in found.collect()} == want

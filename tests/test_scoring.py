@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from changeloom.operators import scoring as R
 
@@ -29,12 +30,11 @@ def test_best_case(runs):
     assert [r.case for r in R.best_case(second, "msg_s").where("is_best").collect()] == ["C3"]
 
 
-@pytest.mark.parametrize("slices", [1, 4, 1024])
-def test_ranks_with_ties_and_groups(spark, slices):
+def test_ranks_with_ties_and_groups(spark):
     df = spark.createDataFrame(
         [("a", 5.0), ("a", 5.0), ("a", 9.0), ("a", 1.0), ("b", 2.0), ("b", 2.0)], "g string, m double"
     )
-    got = R.best_case(df, "m", by=["g"], slices=slices).select("g", "m", "rank", "is_best")
+    got = R.best_case(df, "m", by=["g"]).select("g", "m", "rank", "is_best")
     assert rows(got) == [
         ("a", 1.0, 4, False), ("a", 5.0, 2, False), ("a", 5.0, 2, False), ("a", 9.0, 1, True), ("b", 2.0, 1, True), ("b", 2.0, 1, True)
     ]
@@ -69,7 +69,7 @@ def test_baseline_and_scale(spark):
 
 
 def test_matrices(spark, runs):
-    wide = {r.metric: r for r in R.case_matrix(runs[0], "case", ["total_sec", "msg_s"]).collect()}
+    wide = {r.metric: r for r in R.case_matrix(runs[0], "case", ["total_sec", "msg_s"], ["C1", "C2", "C3", "C4", "C5"]).collect()}
     assert wide["msg_s"].C3 == 28022.0 and wide["total_sec"].C5 == 68.3
     samples = spark.createDataFrame(
         [("r1", "k", 0.0), ("r1", "k", 10.0), ("r2", "k", 30.0), ("r3", "k", 20.0), ("r3", "s", 1.0)], "run string, container string, cpu double"
@@ -83,3 +83,16 @@ def test_speedup(spark):
     fast = spark.createDataFrame([("Person", 1.1), ("Customer", 1.2), ("Detail", 6.3), ("Product", 0.05)], "table string, sec double")
     got = {r.table: r.speedup and round(r.speedup, 1) for r in R.speedup_per_table(slow, fast, "table", "sec").collect()}
     assert got == {"Person": 4.4, "Customer": 1.4, "Detail": None, "Product": None}
+
+
+def test_ranks_with_an_outlier(spark):
+    """One far value does not put all others into one part."""
+    from changeloom.operators.blocks import bounds_of, place_among
+
+    values = [float(i) for i in range(20_000)] + [1e15]
+    df = spark.createDataFrame([(v,) for v in values], "m double")
+    got = {r.m: r["rank"] for r in R.best_case(df, "m", lower_is_better=True).collect()}
+    assert got == {v: i + 1 for i, v in enumerate(values)}
+    bounds = F.array(*[F.lit(x) for x in df.select(bounds_of(F.col("m"))).first()[0]])
+    parts = df.groupBy(place_among(bounds, F.col("m"))).count().agg(F.max("count")).first()[0]
+    assert parts <= 60

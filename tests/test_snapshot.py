@@ -165,9 +165,7 @@ def _live(spark, seed=2):
     return spark.createDataFrame(data, "id long, lsn long, op string, v long"), data
 
 
-@pytest.mark.parametrize("listed", [8_192, 0])
-def test_incremental_snapshot(spark, source, monkeypatch, listed):
-    monkeypatch.setattr(I, "LISTED_KEYS", listed)
+def test_incremental_snapshot(spark, source):
     live, events = _live(spark)
     size, length = 100, 120
     windows = I.sequential_windows(I.plan_chunks(source, "id", size), length)
@@ -191,6 +189,40 @@ def test_incremental_snapshot(spark, source, monkeypatch, listed):
     )
 
 
+@pytest.mark.parametrize("size", [10, 10_000])
+def test_chunks_without_a_window(spark, size):
+    """Their reads stay, before every change, or the run fails if that is asked for; the chunk size changes nothing."""
+    source = spark.createDataFrame([(k, k) for k in range(20)], "id long, v long")
+    windows = spark.createDataFrame([(0, 10, 20)], "chunk_id long, open_pos long, close_pos long")
+    live = spark.createDataFrame([(3, 15), (17, 15)], "id long, lsn long")
+    got = {r.id: r.lsn for r in I.incremental_snapshot(source, live, "id", size, windows).collect()}
+    inside = range(10) if size == 10 else range(20)
+    want = {k: 20 if k in inside else I.BEFORE_ALL for k in range(20) if k != 3 and not (k == 17 and size > 10)}
+    assert got == want
+    none = windows.where("chunk_id > 0")
+    assert I.incremental_snapshot(source, live, "id", size, none).count() == 20
+    with pytest.raises(Exception, match="no window for chunk"):
+        I.incremental_snapshot(source, live, "id", size, none, missing="raise").collect()
+    with pytest.raises(ValueError):
+        I.incremental_snapshot(source, live, "id", size, windows, missing="drop")
+
+
+def test_composite_and_text_keys_in_a_backfill(spark):
+    rng = random.Random(6)
+    keys = sorted((f"k{i * 7 % 40:02d}", i) for i in range(230))
+    df = spark.createDataFrame([(*k, n) for n, k in enumerate(keys)], "a string, b long, v long")
+    live = [(*(keys[100] if rng.random() < 0.4 else rng.choice(keys)), lsn) for lsn in range(300)]
+    windows = I.sequential_windows(spark.range(5).toDF("chunk_id"), 60)
+    frame = spark.createDataFrame(live, "a string, b long, lsn long")
+    got = I.incremental_snapshot(df, frame, ["a", "b"], 50, windows, mode="rows", block=["a"])
+    want = []
+    for n, k in enumerate(keys):
+        opened = n // 50 * 60
+        if not any((a, b) == k and opened <= lsn < opened + 60 for a, b, lsn in live):
+            want.append((*k, n, n // 50, opened + 59))
+    assert rows(got.select("a", "b", "v", "chunk_id", "lsn")) == rows(spark.createDataFrame(want, "a string, b long, v long, c long, l long"))
+
+
 def test_window_edges_are_inside(spark):
     source = spark.createDataFrame([(k, k) for k in range(4)], "id long, v long")
     windows = spark.createDataFrame([(0, 10, 20)], "chunk_id long, open_pos long, close_pos long")

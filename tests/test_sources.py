@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from changeloom.operators import decode as D
 from changeloom.operators.blocks import long_block
 from changeloom.session import scratch_path, scratch_root
 from changeloom.sources import log as L
@@ -41,21 +42,46 @@ def test_write_read_select_position(spark, published, tmp_path):
     path = str(tmp_path / "log")
     L.write_log(published, path)
     log = L.read_log(spark, path)
-    assert rows(log) == rows(published)
+    assert [f.dataType.simpleString() for f in log.schema][-2:] == ["binary", "binary"]
+    text = {"key": F.col("key").cast("string"), "value": F.col("value").cast("string")}
+    assert rows(log.withColumns(text)) == rows(published)
     one = L.read_log(spark, path, topics=["aw.DB.S.T1"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(topic" in plan or "PartitionFilters: [topic" in plan
     assert rows(one) == rows(L.select_topics(log, ["T1"], {"T1": "aw.DB.S.T1", "T0": "aw.DB.S.T0"}))
     with pytest.raises(ValueError):
         L.select_topics(log, ["X"], {})
     start = {"aw.DB.S.T0": {"0": 10, "1": 0}}
     got = L.read_log(spark, path, position=start)
     assert got.where("partition = 0").agg(F.min("offset")).first()[0] in (10, None)
-    assert got.where("partition = 2 OR topic = 'aw.DB.S.T1'").count() == 0
+    # A partition that is not named is read from its start, a topic that is not named not at all.
+    assert got.where("partition = 2").count() == log.where("partition = 2 AND topic = 'aw.DB.S.T0'").count() > 0
+    assert got.where("topic = 'aw.DB.S.T1'").count() == 0
     assert L.from_position(log, "latest").count() == 0
     taken = L.take_messages(log, 25)
     assert taken.count() == 25 and taken.where("value IS NULL").count() == 0
     assert taken.agg(F.max("timestamp")).first()[0].second == 27
 
 
+def test_log_batches_replace_themselves_and_keep_bytes(spark, tmp_path):
+    path = str(tmp_path / "log")
+    framed = spark.range(0, 6).select(
+        F.concat(F.lit("t"), (F.col("id") % 2).cast("string")).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+        F.timestamp_seconds("id").alias("timestamp"),
+        F.lit(None).cast("string").alias("key"),
+        F.unhex(F.concat(F.lit("00000000C8"), F.lpad(F.hex("id"), 4, "F"))).alias("value"),
+    )
+    for _ in range(2):
+        L.write_log(framed, path, batch="b0")
+    L.write_log(framed.withColumn("offset", F.col("offset") + 6), path, batch="b1")
+    log = L.read_log(spark, path)
+    assert log.count() == 12
+    split = D.split_wire_header(log)
+    assert {(r.magic_ok, r.schema_id, r.body_size) for r in split.collect()} == {(True, 200, 2)}
+
+
 def test_upsert_is_idempotent(spark, tmp_path):
     target = str(tmp_path / "table")
     schema = "pk int, lsn long, v string, __deleted string"
@@ -65,10 +91,36 @@ def test_upsert_is_idempotent(spark, tmp_path):
         TB.upsert_batch(batch, n, target, ["pk"], ["lsn"])
     want = [(1, 3, "c"), (3, 5, "d")]
     assert rows(TB.read_upserted(spark, target, ["pk"], ["lsn"])) == want
-    compacted = str(tmp_path / "compacted")
-    TB.compact_target(spark, target, compacted, ["pk"], ["lsn"])
-    assert rows(TB.read_upserted(spark, compacted, ["pk"], ["lsn"])) == want
-    assert spark.read.parquet(compacted).count() == 3
+    assert TB.compact_target(spark, target, ["pk"], ["lsn"]) == 1
+    assert rows(TB.read_upserted(spark, target, ["pk"], ["lsn"])) == want
+    # Later batches come on top of the base; compacting again merges both.
+    TB.upsert_batch(spark.createDataFrame([(1, 9, "z", "true"), (4, 8, "e", "false")], schema), 2, target, ["pk"], ["lsn"])
+    want = [(3, 5, "d"), (4, 8, "e")]
+    assert rows(TB.read_upserted(spark, target, ["pk"], ["lsn"])) == want
+    assert TB.compact_target(spark, target, ["pk"], ["lsn"]) == 2
+    assert TB.compact_target(spark, target, ["pk"], ["lsn"]) == 2
+    assert rows(TB.read_upserted(spark, target, ["pk"], ["lsn"])) == want
+    assert spark.read.parquet(f"{TB.base_folder(target)}/upto=2").count() == 4
+
+
+def test_range_predicates_are_sql_and_cover_nulls():
+    import datetime as dt
+    from decimal import Decimal
+
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (d DATE, s VARCHAR, n DECIMAL(9,2), ts TIMESTAMP)")
+    for day in range(1, 21):
+        con.execute("INSERT INTO t VALUES (?, ?, ?, ?)", [dt.date(2024, 1, day), f"o'k{day:02d}", Decimal(day) / 2, dt.datetime(2024, 1, day, 5)])
+    con.execute("INSERT INTO t VALUES (NULL, NULL, NULL, NULL)")
+    middles = {"d": dt.date(2024, 1, 9), "s": "o'k09", "n": Decimal("4.5"), "ts": dt.datetime(2024, 1, 9, 5)}
+    for key, middle in middles.items():
+        found = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in TB.range_predicates(key, [(None, middle), (middle, None)])]
+        assert found == [9, 12], (key, found)
+    assert TB.range_predicates("k", [(None, None)]) == ["1 = 1"]
+    with pytest.raises(TypeError):
+        TB.sql_literal(object())
 
 
 def _document(label, error=None):
