@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .blocks import Key, long_block, previous
@@ -116,30 +117,56 @@ def order_audit(
     )
 
 
+def _top_level(shape: Column) -> Column:
+    """The ``name: type`` parts of an object's schema text, cut at the commas between its own fields."""
+    inner = F.regexp_replace(shape, r"^OBJECT<|>$", "")
+    empty = F.struct(
+        F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit("").alias("part"), F.array().cast("array<string>").alias("parts")
+    )
+
+    def step(state: Column, c: Column) -> Column:
+        quoted = F.when(c == "`", ~state["quoted"]).otherwise(state["quoted"])
+        change = F.when(state["quoted"], 0).when(c.isin("<", "("), 1).when(c.isin(">", ")"), -1).otherwise(0)
+        cut = (c == ",") & (state["depth"] == 0) & ~state["quoted"]
+        return F.struct(
+            (state["depth"] + change).alias("depth"),
+            quoted.alias("quoted"),
+            F.when(cut, "").otherwise(F.concat(state["part"], c)).alias("part"),
+            F.when(cut, F.array_append(state["parts"], state["part"])).otherwise(state["parts"]).alias("parts"),
+        )
+
+    def finish(state: Column) -> Column:
+        return F.filter(F.array_append(state["parts"], state["part"]), lambda p: F.trim(p) != "")
+
+    return F.aggregate(F.split(inner, ""), empty, step, finish)
+
+
 def schema_fields(log: DataFrame, version: str, value: str = "value", by: Sequence[str] = ("topic",)) -> DataFrame:
     """Distinct top-level JSON fields with their types, per topic and version.
 
-    Each message is reduced to its schema text first; the few distinct texts are
-    aggregated before the shuffle and only those are taken apart.
+    Each message is reduced to its schema text; texts are counted before the shuffle, and only the few distinct
+    ones are taken apart.  ``messages`` counts those with the field, ``all_messages`` those of the topic and version, with or without
+    readable JSON.
     """
-    spark = log.sparkSession
-    exploded = spark.sql(
-        "SELECT t.*, f.key AS field, f.value AS __variant "
-        "FROM {rows} t, LATERAL variant_explode(t.__doc) f",
-        rows=log.select(*by, version, F.try_parse_json(value).alias("__doc")),
-    )
+    # The digits of a decimal differ from message to message; its kind does not.
+    shape = F.regexp_replace(F.schema_of_variant(F.try_parse_json(value)), r"DECIMAL\(\d+,\d+\)", "DECIMAL")
+    shapes = log.groupBy(*by, version, shape.alias("__shape")).agg(F.count(F.lit(1)).alias("__n"))
+    shapes = shapes.withColumn("all_messages", F.sum("__n").over(W.partitionBy(*by, version)))
+    objects = shapes.where(F.col("__shape").startswith("OBJECT<"))
+    parts = objects.withColumn("__part", F.explode(_top_level(F.col("__shape"))))
+    named = r"^\s*(`(?:[^`]|``)*`|[^:]*): (.*)$"
+    name = F.regexp_extract("__part", named, 1)
     return (
-        exploded.select(
+        parts.select(
             *by,
             version,
-            "field",
-            # The digits of a decimal differ from message to message; its kind does not.
-            F.regexp_replace(
-                F.schema_of_variant("__variant"), r"DECIMAL\(\d+,\d+\)", "DECIMAL"
-            ).alias("type"),
+            "all_messages",
+            "__n",
+            F.regexp_replace(F.regexp_replace(name, "^`|`$", ""), "``", "`").alias("field"),
+            F.regexp_extract("__part", named, 2).alias("type"),
         )
         .groupBy(*by, version, "field", "type")
-        .agg(F.count(F.lit(1)).alias("messages"))
+        .agg(F.sum("__n").alias("messages"), F.max("all_messages").alias("all_messages"))
     )
 
 
@@ -160,9 +187,6 @@ def schema_drift(
     """
     fields = schema_fields(log.where(F.col(version).isin(old, new)), version, value, by)
     typed = F.when(F.col("type") != "VOID", F.col("type"))
-    messages = log.where(F.col(version) == F.lit(new)).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__all")
-    )
     sides = fields.groupBy(*by, "field").agg(
         F.array_join(
             F.array_sort(F.collect_set(F.when(F.col(version) == F.lit(old), typed))), "|"
@@ -173,6 +197,7 @@ def schema_drift(
         F.sum(
             F.when((F.col(version) == F.lit(new)) & typed.isNotNull(), F.col("messages")).otherwise(0)
         ).alias("__filled"),
+        F.max(F.when(F.col(version) == F.lit(new), F.col("all_messages"))).alias("__all"),
         F.count_if(F.col(version) == F.lit(old)).alias("__in_old"),
         F.count_if(F.col(version) == F.lit(new)).alias("__in_new"),
     )
@@ -181,7 +206,7 @@ def schema_drift(
         .when(F.col("__in_new") == 0, "removed")
         .when(F.col("old_type") != F.col("new_type"), "type_changed")
     )
-    joined = sides.join(messages, on=list(by), how="left").withColumn("change", change)
+    joined = sides.withColumn("change", change)
     required = F.col("__filled") >= F.coalesce(F.col("__all"), F.lit(0))
     widened = (F.col("old_type") == "BIGINT") & F.col("new_type").isin(
         "DECIMAL", "DOUBLE", "BIGINT|DECIMAL", "BIGINT|DOUBLE"

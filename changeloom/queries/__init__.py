@@ -3,5 +3,5 @@
 Importing this package fills the registry.
 """
 
-from . import audit, decode, generate, metrics, scoring, series, snapshot, state, stream  # noqa: F401
+from . import audit, decode, delivery, generate, metrics, scoring, series, snapshot, state, stream  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
