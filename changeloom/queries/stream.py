@@ -53,33 +53,32 @@ def stream_dedupe(spark, sf):
     return spark.read.schema(deduped.schema).parquet(f"{root}/out")
 
 
-@query("""WITH windows AS (
-  SELECT event_type AS topic, epoch_us(ts) // 21600000000 * 21600 AS bucket, count(*) AS messages,
-         CAST(sum(strlen(props)) AS BIGINT) AS bytes, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.99) AS p99
-  FROM events GROUP BY 1, 2)
-SELECT topic, bucket, messages, bytes, round(messages / 21600::DOUBLE, 6) AS msg_s,
-  round(bytes / messages::DOUBLE, 6) AS avg_bytes, p50, p99
-FROM windows WHERE (bucket + 21600) * 1000000 <= (SELECT max(epoch_us(ts)) FROM events) - 3600000000""")
+@query("""WITH ranked AS (
+  SELECT event_type AS topic, epoch_us(ts) // 21600000000 * 21600 AS bucket, strlen(props) AS size, value,
+         count(*) OVER w AS n, row_number() OVER (w ORDER BY value) - 1 AS i
+  FROM events WINDOW w AS (PARTITION BY event_type, epoch_us(ts) // 21600000000))
+SELECT topic, bucket, count(*) AS messages, CAST(sum(size) AS BIGINT) AS bytes, round(count(*) / 21600::DOUBLE, 6) AS msg_s,
+  round(sum(size) / count(*)::DOUBLE, 6) AS avg_bytes, round(median(value), 6) AS p50,
+  round(max(CASE WHEN i = n * 99 // 100 THEN value END), 6) AS p99
+FROM ranked GROUP BY 1, 2""")
 def stream_tumbling_metrics(spark, sf):
-    """Windows that the watermark has closed; the last ones stay open."""
+    """All windows of the consumed stream, with the percentiles of a batch."""
     stream = event_stream(spark, sf).select(
         F.col("event_type").alias("topic"),
         F.col("ts").alias("timestamp"),
         F.octet_length("props").cast("long").alias("message_bytes"),
         F.col("value").alias("latency_ms"),
     )
-    windows = K.tumbling_metrics(stream, "6 hours", "1 hour", ["topic"])
+    rows = K.window_rows(stream, "6 hours", ["topic"])
     root = scratch_path(spark, "stream-metrics")
-    K.consume_once(windows, f"{root}/out", f"{root}/checkpoint")
-    closed = spark.read.schema(windows.schema).parquet(f"{root}/out")
-    return closed.select(
+    K.consume_once(rows, f"{root}/rows", f"{root}/checkpoint")
+    windows = K.window_metrics(spark.read.schema(rows.schema).parquet(f"{root}/rows"), 6 * 3600, ["topic"])
+    return windows.select(
         "topic",
         F.unix_timestamp("window_start").alias("bucket"),
         "messages",
         "bytes",
-        *rounded("msg_s", "avg_bytes"),
-        "p50",
-        "p99",
+        *rounded("msg_s", "avg_bytes", "p50", "p99"),
     )
 
 

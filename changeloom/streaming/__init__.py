@@ -13,4 +13,6 @@ from .jobs import (  # noqa: F401
     materialize_stream,
     progress_lag,
     tumbling_metrics,
+    window_metrics,
+    window_rows,
 )

@@ -9,12 +9,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import MB, consumer_lag
 from ..operators.decode import LIVE_OPS, render_summary
-from ..operators.state import latest_per_key
+from ..operators.order_stats import lower_middle, order_statistics, percentile_rank, upper_middle
+from ..operators.state import latest_per_key, settling
 from ..sources.tables import upsert_batch
 
 
@@ -57,7 +58,8 @@ def tumbling_metrics(
 ) -> DataFrame:
     """Messages, bytes, rates and latency per fixed window, with a watermark.
 
-    Percentiles are approximate here: exact ones need a second pass over the rows.
+    One pass over the stream, so percentiles are approximate, and the last windows stay open.  Exact ones, for all
+    windows, come from :func:`window_rows` and :func:`window_metrics`.
     """
     seconds = F.unix_timestamp("window.end") - F.unix_timestamp("window.start")
     counted = (
@@ -66,8 +68,8 @@ def tumbling_metrics(
         .agg(
             F.count(F.lit(1)).alias("messages"),
             F.sum(size).alias("bytes"),
-            F.percentile_approx(latency, 0.5).alias("p50"),
-            F.percentile_approx(latency, 0.99).alias("p99"),
+            F.percentile_approx(latency, 0.5).alias("approx_p50"),
+            F.percentile_approx(latency, 0.99).alias("approx_p99"),
         )
     )
     return counted.select(
@@ -78,6 +80,44 @@ def tumbling_metrics(
         (F.col("messages") / seconds).alias("msg_s"),
         (F.col("bytes") / F.lit(MB) / seconds).alias("mb_s"),
         (F.col("bytes") / F.col("messages")).alias("avg_bytes"),
+        "approx_p50",
+        "approx_p99",
+    )
+
+
+def window_rows(
+    log: DataFrame,
+    every: str = "2 seconds",
+    by: Sequence[str] = (),
+    ts: str = "timestamp",
+    size: str = "message_bytes",
+    latency: str = "latency_ms",
+) -> DataFrame:
+    """The narrow rows that window metrics need; consume them to a folder as they come.  Works on a stream."""
+    start = F.window(ts, every).getField("start")
+    return log.select(start.alias("window_start"), *by, F.col(size).alias("message_bytes"), F.col(latency).alias("latency_ms"))
+
+
+def window_metrics(rows: DataFrame, seconds: float, by: Sequence[str] = (), closed_before: Column | None = None) -> DataFrame:
+    """Messages, bytes, rates, median and P99 latency of the consumed rows' windows.
+
+    The median is the mean of the two middle values and P99 the element at index ``n * 99 div 100``, as in a batch.
+    ``closed_before`` leaves out windows that end later; without it all windows are finished, also the last ones.
+    """
+    keys = ["window_start", *by]
+    if closed_before is not None:
+        rows = rows.where(F.unix_micros("window_start") + int(seconds * 1_000_000) <= F.unix_micros(closed_before))
+    ranks = {"__low": lower_middle, "__high": upper_middle, "p99": percentile_rank(99)}
+    exact = order_statistics(rows, keys, "latency_ms", ranks)
+    middle = (F.col("__low").cast("double") + F.col("__high").cast("double")) / 2
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("messages"), F.sum("message_bytes").alias("bytes"))
+    return counted.join(exact.select(*keys, middle.alias("p50"), "p99"), keys, "left").select(
+        *keys,
+        "messages",
+        "bytes",
+        (F.col("messages") / F.lit(float(seconds))).alias("msg_s"),
+        (F.col("bytes") / F.lit(MB) / F.lit(float(seconds))).alias("mb_s"),
+        (F.col("bytes") / F.col("messages")).alias("avg_bytes"),
         "p50",
         "p99",
     )
@@ -101,7 +141,7 @@ def latest_state(change: DataFrame, pk: Sequence[str], order: Sequence[str]) ->
     By position, so backfill and live events may arrive in any order.  Deleted keys
     stay in the state as deletes; filter them when reading.
     """
-    return latest_per_key(change, pk, order)
+    return latest_per_key(settling(change), pk, order) if "op" in change.columns else latest_per_key(change, pk, order)
 
 
 def materialize_stream(

@@ -92,7 +92,21 @@ def test_tumbling_metrics_equal_batch_but_for_the_open_tail(spark, tmp_path):
     got = spark.read.parquet(out).orderBy("window_start").collect()
     assert [r.messages for r in got] == [10] * 11
     assert {(r.bytes, r.msg_s, r.avg_bytes) for r in got} == {(1000, 1.0, 100.0)}
-    assert [r.p99 for r in got] == [float(10 * i + 9) for i in range(11)]
+    assert [r.approx_p99 for r in got] == [float(10 * i + 9) for i in range(11)]
+
+
+def test_window_metrics_are_exact_and_cover_all_windows(spark, tmp_path):
+    src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    _feed(spark, src, _events(115))
+    log = _stream(spark, src).select("timestamp", F.lit(100).alias("message_bytes"), F.col("v").cast("double").alias("latency_ms"))
+    K.consume_once(K.window_rows(log, "10 seconds"), out, cp)
+    stored = spark.read.parquet(out)
+    got = K.window_metrics(stored, 10).orderBy("window_start").collect()
+    assert [r.messages for r in got] == [10] * 11 + [5]
+    assert [r.p50 for r in got] == [10 * i + 4.5 for i in range(11)] + [112.0]
+    assert [r.p99 for r in got] == [10 * i + 9.0 for i in range(11)] + [114.0]
+    until = F.lit(T0 + dt.timedelta(seconds=30)).cast("timestamp")
+    assert K.window_metrics(stored, 10, closed_before=until).count() == 3
 
 
 def test_idle_sessions_and_late_rows(spark, tmp_path):
