@@ -13,6 +13,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import hot_key_join
 from .common import WORD_GAPS, stored, text_of
 
 SYMBOLS = "#*$%&|<>"
@@ -99,8 +100,8 @@ def _vector() -> list[Column]:
         F.log1p(F.col("n_words").cast("double")) / 2,
         2 * F.log(chars / words),
         F.log1p(F.lit(100.0) * F.col("n_symbols") / chars),
-        F.log1p(F.lit(100.0) * F.col("n_dup_lines") / words),
-        F.log1p(F.lit(10.0) * F.col("n_repeat_words") / words),
+        F.log1p(F.lit(30.0) * F.col("n_dup_lines") / words),
+        F.log1p(F.lit(4.0) * F.col("n_repeat_words") / words),
     ]
 
 
@@ -116,7 +117,7 @@ def _with_cells(rows: DataFrame) -> DataFrame:
     left = F.sum(F.when(~enough, F.col("n")).otherwise(0)).over(Window.partitionBy("lang"))
     cell = F.when(enough, F.col("fine")).when(left >= LEAST_ROWS, F.col("mid")).otherwise(F.col("all"))
     cells = sizes.select("fine", cell.alias("cell"))
-    return rows.withColumn("fine", names["fine"]).join(cells, "fine").drop("fine")
+    return hot_key_join(rows.withColumn("fine", names["fine"]), cells, ["fine"], "inner").drop("fine")
 
 
 def _first_guess(rows: DataFrame) -> DataFrame:
@@ -224,17 +225,18 @@ def outlier_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     best = _whitened(guess).groupBy("cell").agg(F.min_by(F.struct("*"), F.struct("logdet", "start")).alias("best")).select("best.*")
     best = stored(best.drop("start", "logdet"), "quality-best")
 
-    met = passed.join(best, "cell", "left").withColumn("distance", _distance())
-    at = F.floor(F.log(F.col("distance") + 1e-6) * DISTANCE_STEPS)
-    counts = met.groupBy("cell", at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    at = F.floor(F.log(_distance() + 1e-6) * DISTANCE_STEPS)
+    counts = rows.join(best, "cell").groupBy("cell", at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("cell")
     ranked = counts.withColumn("total", F.sum("n").over(w)).withColumn("upto", F.sum("n").over(w.orderBy("at")))
     median = ranked.groupBy("cell").agg(
         F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.exp((F.col("at") + 1) / DISTANCE_STEPS))).alias("median"),
         F.max("total").alias("cell_rows"),
     )
+    final = stored(best.join(median, "cell"), "quality-limits")
+    judged = hot_key_join(passed, final, ["cell"], "inner").withColumn("distance", _distance())
     limit = F.greatest(F.col("median") / CHI_MEDIAN, F.lit(1.0)) * CHI_CUTOFF
-    judged = met.join(median, "cell").withColumn("kept", (F.col("distance") <= limit) | (F.col("cell_rows") < LEAST_ROWS))
+    judged = judged.withColumn("kept", (F.col("distance") <= limit) | (F.col("cell_rows") < LEAST_ROWS))
     columns = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     failed = counted.where("base_failed").select(*columns, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
     return judged.select(*columns, "distance", "kept").union(failed).withColumnRenamed("id", id_col)
