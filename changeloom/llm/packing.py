@@ -8,7 +8,7 @@ minimises padding plus penalties; a monotone queue gives the best earlier cut wi
 from __future__ import annotations
 
 import json
-from collections import deque
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,13 +30,9 @@ SEQUENCE_COST = 8
 INSIDE_STEP = 64
 # Tokens laid end to end before sequences are cut; the last of them ends at a document end.
 TOKENS_AT_ONCE = 1 << 21
-UNITS_KEPT = 200_000
 
 # Fixed value: the pattern by which byte-level BPE of this kind splits text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# A blank between other blanks is the only place where a cut before a blank could fall inside a pre-token.
-_INNER_BLANK = regex.compile(r"\s \s")
-
 
 def _byte_names() -> dict[str, int]:
     """Characters that stand for bytes in vocabulary files: printable ones for themselves, others from U+0100 on."""
@@ -45,25 +41,11 @@ def _byte_names() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-class _Units(dict):
-    """Token bytes of text units, made when first asked for and kept up to a bound."""
-
-    def __init__(self, encoding: tiktoken.Encoding):
-        super().__init__()
-        self.encode = encoding.encode_ordinary
-
-    def __missing__(self, unit: str) -> bytes:
-        made = np.array(self.encode(unit), "<u4").tobytes()
-        if len(self) < UNITS_KEPT:
-            self[unit] = made
-        return made
-
-
 class TextEncoder:
-    """Token ids as the tokenizers library gives them for a byte-level BPE file, at the speed of a table.
+    """Token ids as the tokenizers library gives them for a byte-level BPE file.
 
-    A blank after or before a non-blank always starts a pre-token, so the text between such blanks is encoded by
-    itself and remembered.  Texts that hold the string of an added token go to the library.
+    The file's vocabulary is in merge order, so it serves as ranks for a faster encoder of the same kind.  Texts that
+    hold the string of an added token go to the library.
     """
 
     def __init__(self, path: str):
@@ -72,7 +54,7 @@ class TextEncoder:
         added = [x["content"] for x in held.get("added_tokens", [])]
         names = _byte_names()
         ranks = {bytes(names[c] for c in token): rank for token, rank in held["model"]["vocab"].items() if token not in added}
-        self.units = _Units(tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}))
+        self.ranked = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.added = regex.compile("|".join(map(regex.escape, added)) or r"(?!)")
         self.library = Tokenizer.from_file(path)
         size = 1 + max([*ranks.values(), *(x["id"] for x in held.get("added_tokens", []))])
@@ -85,10 +67,7 @@ class TextEncoder:
     def encode(self, text: str) -> np.ndarray:
         if self.added.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
-        if "\0" in text or _INNER_BLANK.search(text):
-            return np.array(self.units.encode(text), "<u4")
-        units = text.replace(" ", "\0 ").split("\0")
-        return np.frombuffer(b"".join(map(self.units.__getitem__, units)), "<u4")
+        return np.frombuffer(array("I", self.ranked.encode_ordinary(text)), np.uint32)
 
     def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
         """Numbers of tokens after which a sentence or a line has ended."""
@@ -108,31 +87,39 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, length: int) -> list[int]:
     ``at`` holds rising token counts from 0 with steps of at most ``length``.  A sequence costs its padding (none if its
     size is a power of two), a constant, and the penalty of its end.
     """
-    places, count = at.tolist(), len(at)
-    exact: dict[int, list[int]] = {}
+    places, price, count = at.tolist(), (penalty + SEQUENCE_COST).tolist(), len(at)
+    ends, begins = [], []
     for power in range(length.bit_length()):
-        if 1 << power <= length:
-            before = at - (1 << power)
-            index = np.minimum(np.searchsorted(at, before), count - 1)
-            for j in np.flatnonzero(at[index] == before).tolist():
-                exact.setdefault(j, []).append(int(index[j]))
-    price = penalty.tolist()
-    cost, prev = [0.0] * count, [0] * count
-    queue: deque[tuple[float, int]] = deque()
+        before = at - (1 << power)
+        index = np.minimum(np.searchsorted(at, before), count - 1)
+        ends.append(np.flatnonzero(at[index] == before))
+        begins.append(index[ends[-1]])
+    order = np.argsort(np.concatenate(ends), kind="stable")
+    exact_end = [*np.concatenate(ends)[order].tolist(), count]
+    exact_begin = np.concatenate(begins)[order].tolist()
+    exact = 0
+    cost, prev = [0.0], [0]
+    # The queue: places from ``head`` on, with rising cost + place; only its front can be the best begin.
+    queue, queued, head = [0], [0.0], 0
     for j in range(1, count):
-        held = cost[j - 1] + places[j - 1]
-        while queue and queue[-1][0] >= held:
+        place = places[j]
+        while places[queue[head]] < place - length:
+            head += 1
+        source, best = queue[head], queued[head] + length - place
+        while exact_end[exact] == j:
+            if cost[exact_begin[exact]] < best:
+                source = exact_begin[exact]
+                best = cost[source]
+            exact += 1
+        best += price[j]
+        cost.append(best)
+        prev.append(source)
+        best += place
+        while len(queue) > head and queued[-1] >= best:
             queue.pop()
-        queue.append((held, j - 1))
-        reach = places[j] - length
-        while places[queue[0][1]] < reach:
-            queue.popleft()
-        best, source = queue[0]
-        best += length - places[j]
-        for i in exact.get(j, ()):
-            if cost[i] < best:
-                best, source = cost[i], i
-        cost[j], prev[j] = best + price[j] + SEQUENCE_COST, source
+            queued.pop()
+        queue.append(j)
+        queued.append(best)
     cuts = [count - 1]
     while cuts[-1]:
         cuts.append(prev[cuts[-1]])
