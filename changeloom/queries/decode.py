@@ -350,7 +350,7 @@ def from_position(spark, sf):
         F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
     )
-    return L.from_position(log, {"view": {0: 500, 1: 0}, "error": {2: 250}})
+    return L.from_position(log, {"view": {0: 500, 1: 0}, "error": {2: 250}}, rest="drop")
 
 
 @query("""SELECT event_id AS "offset", props AS value FROM events WHERE event_type <> 'error'

@@ -55,11 +55,11 @@ def select_topics(log: DataFrame, names: Sequence[str], topics: dict[str, str])
     return log.where(F.col("topic").isin(*[topics[n] for n in names]))
 
 
-def from_position(log: DataFrame, position: str | dict = "earliest") -> DataFrame:
+def from_position(log: DataFrame, position: str | dict = "earliest", rest: str = "earliest") -> DataFrame:
     """Records from ``earliest``, ``latest`` or ``{topic: {partition: offset}}`` on.
 
-    Partitions of a named topic for which no offset is given are read from their start; topics not
-    named are left out.
+    Partitions of a named topic for which no offset is given are read from their start, or, with ``rest='drop'``,
+    left out.  Topics not named are left out.
 
     ``latest`` starts after the last record that exists, so a batch gives none; on
     Kafka, pass it to :func:`read_log`, which hands it to the connector.
@@ -71,8 +71,11 @@ def from_position(log: DataFrame, position: str | dict = "earliest") -> DataFram
             raise ValueError("a file stream cannot start at its end; give offsets")
         return log.where(F.lit(False))
     keep: Column = F.lit(False)
+    if rest not in ("earliest", "drop"):
+        raise ValueError("rest is 'earliest' or 'drop'")
     for topic, partitions in position.items():
-        reached = ~F.col("partition").isin(*[int(p) for p in partitions])
+        unnamed = ~F.col("partition").isin(*[int(p) for p in partitions])
+        reached = unnamed if rest == "earliest" else F.lit(False)
         for partition, offset in partitions.items():
             reached = reached | ((F.col("partition") == int(partition)) & (F.col("offset") >= int(offset)))
         keep = keep | ((F.col("topic") == topic) & reached)
