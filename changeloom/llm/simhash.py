@@ -256,7 +256,9 @@ def near_duplicates(
     member = classes.join(roots.withColumnRenamed("node", "code"), "code", "left").select(
         "code", F.coalesce("root", "code").alias("root"), "least"
     )
-    named = member.join(member.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("code", "component_id")
+    # A family of near copies may hold a large share of the codes: its root is a hot key.
+    names = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = hot_key_join(member, names, ["root"], "inner").select("code", "component_id")
     return hot_key_join(codes, named, ["code"], "inner").select(
         id_col, F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id"
     )
