@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import slices, text_of
 
 CHUNK = 1 << 15
 OVERLAP = 1 << 11
@@ -126,12 +126,12 @@ def encode(
     kind = rows.schema["id"].dataType.simpleString()
 
     def whole(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
+        for batch in slices(found):
             ids = [encode_piece(t.as_py(), ranks_path, pattern) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 
     def pieces(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
+        for batch in slices(found):
             ids = [encode_piece(t.as_py(), ranks_path, pattern) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ids, pa.binary())], ["key", "piece", "ids"])
 
@@ -151,7 +151,7 @@ def decode(coded: DataFrame, ranks_path: str) -> DataFrame:
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(ranks_path)
-        for batch in found:
+        for batch in slices(found):
             made = [
                 None if ids is None else b"".join([table[i] for i in np.frombuffer(ids, "<u4").tolist()])
                 for ids in batch.column(batch.schema.get_field_index("ids")).to_pylist()

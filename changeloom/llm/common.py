@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,13 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def slices(found: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Parts of the batches, so that what is made of whole texts is held for few rows at a time."""
+    for batch in found:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import hot_key_join
-from .common import stored, text_of
+from .common import slices, stored, text_of
 
 GRAM = 24
 PORTION = 1 << 19
@@ -470,7 +470,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     ranges = removed_ranges(texts, length).groupBy("doc", "tie").agg(F.collect_list(F.struct("first", "size")).alias("ranges"))
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in found:
+        for batch in slices(found):
             kept, removed, spans = [], [], []
             for text, ranges in zip(batch.column(2), batch.column(3)):
                 text = text.as_buffer().to_pybytes()

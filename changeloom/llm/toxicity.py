@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import slices, text_of
 
 # Bounds of the training sample, and size of the feature table.
 MOST_POSITIVE = 3_000
@@ -180,7 +180,7 @@ def score(docs: DataFrame, weight: np.ndarray, text_col: str = "text") -> DataFr
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, sizes = shared.value, _SIZES.astype(np.float32)
-        for batch in found:
+        for batch in slices(found):
             sums = []
             for text in batch.column(place):
                 places, times = features(text.as_py())
