@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ STATE = 16
 # Most frequent words whose counts every task knows; the counts of all others are joined.
 HEAD = 1 << 17
 LANES = 128
+SCORE_LANES = 512
 WINDOW = 32
 ROUNDS = 3
 RATE = 0.01
@@ -38,11 +40,6 @@ CHUNK = 1 << 13
 SLOTS = 256
 
 
-class _Index(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 class Network:
     """Parameters as views of one flat array.  Word 0 is the end of a text, ``WORDS`` is any other word."""
 
@@ -184,6 +181,8 @@ def in_lanes(texts: list[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarray,
 def train_on(network: Network, texts: list[np.ndarray], memory: dict) -> int:
     """One pass over the texts with Adam, a step per window; the state is carried on, its gradient is cut."""
     state, seen = None, 0
+    grad = Network()
+    first, second, change = memory["first"], memory["second"], memory["change"]
     for inputs, targets, begins, number in in_lanes(texts, LANES):
         lanes = inputs.shape[1]
         state = np.zeros((lanes, STATE), np.float32) if state is None else state[:lanes]
@@ -191,18 +190,26 @@ def train_on(network: Network, texts: list[np.ndarray], memory: dict) -> int:
         state = states[-1]
         real = (number >= 0).ravel()
         count = int(real.sum())
-        grad = Network()
+        grad.flat[:] = 0
         flat = states[1:].reshape(-1, STATE)
         d_states = np.zeros_like(flat)
         _, d_states[real] = network.outputs(flat[real], targets.ravel()[real], grad, 1 / count)
         network.backward(grad, inputs, begins, kept, d_states.reshape(states[1:].shape))
-        size = float(np.linalg.norm(grad.flat))
-        grad.flat *= min(1.0, 1.0 / max(size, 1e-9))
+        grad.flat *= min(1.0, 1.0 / max(float(np.linalg.norm(grad.flat)), 1e-9))
         memory["step"] += 1
-        memory["first"] += 0.1 * (grad.flat - memory["first"])
-        memory["second"] += 0.01 * (grad.flat * grad.flat - memory["second"])
-        fixed = RATE * np.sqrt(1 - 0.99 ** memory["step"]) / (1 - 0.9 ** memory["step"])
-        network.flat -= fixed * memory["first"] / (np.sqrt(memory["second"]) + 1e-7)
+        # Adam with moments 0.9 and 0.99, in place.
+        first *= 0.9
+        np.multiply(grad.flat, 0.1, out=change)
+        first += change
+        second *= 0.99
+        np.multiply(grad.flat, grad.flat, out=change)
+        change *= 0.01
+        second += change
+        np.sqrt(second, out=change)
+        change += 1e-7
+        np.divide(first, change, out=change)
+        change *= RATE * np.sqrt(1 - 0.99 ** memory["step"]) / (1 - 0.9 ** memory["step"])
+        network.flat -= change
         seen += count
     return seen
 
@@ -210,7 +217,7 @@ def train_on(network: Network, texts: list[np.ndarray], memory: dict) -> int:
 def score_texts(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each whole text."""
     found, state = np.zeros(len(texts)), None
-    for inputs, targets, begins, number in in_lanes(texts, LANES):
+    for inputs, targets, begins, number in in_lanes(texts, SCORE_LANES):
         lanes = inputs.shape[1]
         state = np.zeros((lanes, STATE), np.float32) if state is None else state[:lanes]
         states, _ = network.forward(inputs, begins, state)
@@ -256,7 +263,7 @@ class Vocabulary:
         self.model_counts[1 : known + 1] = counts[:known]
         self.other_tokens = tokens - int(self.model_counts.sum())
         self.other_distinct = max(0, distinct - known - (texts > 0))
-        self._index: _Index | None = None
+        self._index: dict[bytes, int] | None = None
 
     def __getstate__(self):
         return self.__dict__ | {"_index": None}
@@ -264,8 +271,8 @@ class Vocabulary:
     def places(self, words: list[bytes]) -> np.ndarray:
         """Ranks of words by frequency, -1 outside the head."""
         if self._index is None:
-            self._index = _Index(zip(self.words, range(len(self.words))))
-        return np.fromiter(map(self._index.__getitem__, words), np.int32, len(words))
+            self._index = dict(zip(self.words, range(len(self.words))))
+        return np.fromiter(map(self._index.get, words, repeat(-1)), np.int32, len(words))
 
     @staticmethod
     def tokens_of(places: np.ndarray) -> np.ndarray:
@@ -307,7 +314,7 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network, DataFrame]:
 
         def batches(found: Iterator[pa.RecordBatch], known=known, shared=shared) -> Iterator[pa.RecordBatch]:
             own, vocabulary, seen = Network(shared.value.copy()), known.value, 0
-            memory = {"step": 0, "first": np.zeros_like(own.flat), "second": np.zeros_like(own.flat)}
+            memory = {"step": 0} | {name: np.zeros_like(own.flat) for name in ("first", "second", "change")}
             for batch in found:
                 read = [vocabulary.tokens_of(vocabulary.places(words_of(t.as_py()))) for t in batch.column(0)]
                 seen += train_on(own, read, memory)
