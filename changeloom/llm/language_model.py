@@ -350,40 +350,33 @@ def scores(docs: DataFrame, for_training: Column, id_col: str = "doc_id", text_c
     def score(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = known.value, Network(shared.value.copy())
         for batch in found:
-            texts, columns = [], []
+            texts, columns, rare, times = [], [], [], []
             for text in batch.column(2):
-                places = vocabulary.places(words_of(text.as_py()))
+                words = words_of(text.as_py())
+                places = vocabulary.places(words)
+                unknown = Counter([words[j] for j in np.flatnonzero(places < 0).tolist()])
+                rare.append(list(unknown.keys()))
+                times.append(list(unknown.values()))
                 inside = places[places >= 0]
                 other = inside[inside >= WORDS - 1]
                 columns.append((len(places) + 1, len(inside), vocabulary.logs[inside].sum(), vocabulary.logs[other].sum(), len(other)))
                 texts.append(vocabulary.tokens_of(places))
             logs = score_texts(network, texts) / np.log(10)
             made = [pa.array(x) for x in zip(*columns)] if columns else [pa.array([])] * 5
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made, pa.array(logs)], ["id", "hash", "n_tokens", "n_head", "head_logs", "other_logs", "n_other", "model"])
-
-    def rare(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = known.value
-        for batch in found:
-            for at in range(0, batch.num_rows, 512):
-                part, row, word, n = batch.slice(at, 512), [], [], []
-                for i, text in enumerate(part.column(2)):
-                    words = words_of(text.as_py())
-                    places = vocabulary.places(words)
-                    held = Counter([words[j] for j in np.flatnonzero(places < 0).tolist()])
-                    row += [i] * len(held)
-                    word += held.keys()
-                    n += held.values()
-                at_row = pa.array(row, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(at_row), part.column(1).take(at_row), pa.array(word, pa.binary()), pa.array(n, pa.int64())], ["id", "hash", "word", "times"]
-                )
+            lists = [pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))]
+            names = ["id", "hash", "n_tokens", "n_head", "head_logs", "other_logs", "n_other", "model", "rare", "times"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made, pa.array(logs), *lists], names)
 
     scored = keyed.mapInArrow(
         score,
-        f"id {kind}, hash bigint, n_tokens bigint, n_head bigint, head_logs double, other_logs double, n_other bigint, model double",
+        f"id {kind}, hash bigint, n_tokens bigint, n_head bigint, head_logs double, other_logs double, n_other bigint, model double, "
+        "rare array<binary>, times array<bigint>",
     )
+    # Read twice: for the rare words, and for the scores.
+    scored = stored(scored, "language-scores")
     # Counts of the words that the tasks do not know: a join on the word, then sums per text.
-    tails = keyed.mapInArrow(rare, f"id {kind}, hash bigint, word binary, times bigint").join(counts, "word", "left")
+    listed = scored.select("id", "hash", F.explode(F.arrays_zip("rare", "times")).alias("r"))
+    tails = listed.select("id", "hash", F.col("r.rare").alias("word"), F.col("r.times").alias("times")).join(counts, "word", "left")
     count = F.coalesce("n", F.lit(0))
     tails = tails.groupBy("id", "hash").agg(
         F.sum("times").alias("tail_tokens"),
@@ -392,7 +385,7 @@ def scores(docs: DataFrame, for_training: Column, id_col: str = "doc_id", text_c
     )
     tails = tails.withColumnsRenamed({"id": "tail_id", "hash": "tail_hash"})
     same = F.col("id").eqNullSafe(F.col("tail_id")) & (F.col("hash") == F.col("tail_hash"))
-    met = scored.join(tails, same, "left")
+    met = scored.drop("rare", "times").join(tails, same, "left")
     own = F.col("n_tokens") - 1 - F.col("n_head")
     # Rows that repeat identifier and text have added up their words together.
     share = F.when(F.col("tail_tokens") > 0, own / F.col("tail_tokens")).otherwise(F.lit(0.0))
