@@ -451,8 +451,10 @@ def removed_ranges(texts: DataFrame, length: int) -> DataFrame:
     return gone.union(sorted_out).union(late).select("doc", tie.alias("tie"), place.alias("first"), "size")
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: identifier, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``, the remaining bytes.
+def remove_repeats(
+    docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per input row: identifier, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept``, the remaining bytes, and columns ``carry``.
 
     A byte goes if a string of ``length`` bytes over it also starts earlier: in a document with a smaller identifier (null
     counts as largest), or earlier in the same one.  Different texts under one identifier are ordered by a
@@ -466,8 +468,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("doc"),
         F.pmod(F.crc32(data), F.lit(1 << 31)).alias("tie"),
         data.alias("text"),
+        F.struct(F.lit(0), *carry).alias("carried"),
     )
-    ranges = removed_ranges(texts, length).groupBy("doc", "tie").agg(F.collect_list(F.struct("first", "size")).alias("ranges"))
+    ranges = removed_ranges(texts.drop("carried"), length).groupBy("doc", "tie").agg(F.collect_list(F.struct("first", "size")).alias("ranges"))
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(found):
@@ -487,9 +490,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                 spans.append(len(first))
             sizes = [len(t.as_buffer()) for t in batch.column(2)]
             columns = [pa.array(c, pa.int64()) for c in (sizes, removed, spans)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(kept, pa.binary())], ["doc", "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(kept, pa.binary()), batch.column(4)], ["doc", "n_bytes", "n_removed", "n_spans", "kept", "carried"])
 
-    met = texts.join(ranges, ["doc", "tie"], "left").select("doc", "tie", "text", "ranges")
-    done = met.mapInArrow(batches, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    met = texts.join(ranges, ["doc", "tie"], "left").select("doc", "tie", "text", "ranges", "carried")
+    kind = met.schema["carried"].dataType.simpleString()
+    done = met.mapInArrow(batches, f"doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, carried {kind}")
     name = F.when(F.col("doc") != NO_ID, F.col("doc")).alias(id_col)
-    return done.select(name, "n_bytes", "n_removed", "n_spans", "kept")
+    return done.select(name, "n_bytes", "n_removed", "n_spans", "kept", *[F.col("carried")[c].alias(c) for c in carry])
