@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 ORDER = 3
-# Strings of each length that the frozen trees may hold over all languages, most frequent first; the rest is left to escapes.
+# Strings of each length that tasks hold in memory; where there are more, the costs of the rarer ones are joined, not left out.
 MOST_STRINGS = 1 << 20
 BYTES_AT_ONCE = 1 << 21
 UNKNOWN = "und"
@@ -130,32 +130,71 @@ def _look_up(known: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwis
     return found
 
 
-def train(docs: DataFrame, most: int = MOST_STRINGS) -> Trees:
-    """Trees from all rows of ``lang, text`` whose language is not null."""
-    counts = stored(count_strings(docs.where("lang IS NOT NULL")), "language-counts")
-    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+def _order(counts: DataFrame, k: int) -> DataFrame:
+    """``lang, key, n, total, followers`` of the strings of ``k + 1`` bytes."""
+    key = F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
+    strings = counts.groupBy("lang", key.alias("key")).agg(F.sum("n").alias("n"))
+    context = Window.partitionBy("lang", F.shiftright("key", 8))
+    return strings.withColumn("total", F.sum("n").over(context)).withColumn("followers", F.count(F.lit(1)).over(context))
+
+
+def _trees(langs: list[str], orders: list[DataFrame]) -> Trees:
+    number = {lang: i for i, lang in enumerate(langs)}
     tables = []
-    for k in range(ORDER + 1):
-        key = F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1))
-        strings = counts.groupBy("lang", key.alias("key")).agg(F.sum("n").alias("n"))
-        context = Window.partitionBy("lang", F.shiftright("key", 8))
-        strings = strings.withColumn("total", F.sum("n").over(context)).withColumn("followers", F.count(F.lit(1)).over(context))
-        # A table of at most `most` rows reaches the driver, whatever the input.
-        table = strings.orderBy(F.desc("n"), "lang", "key").limit(most).toArrow()
-        number = {lang: i for i, lang in enumerate(langs)}
+    for strings in orders:
+        table = strings.toArrow()
         lang = np.array([number[x] for x in table.column("lang").to_pylist()], np.int64)
         tables.append((lang, *[table.column(c).to_numpy() for c in ("key", "n", "total", "followers")]))
     return Trees(langs, tables)
 
 
-def identify(docs: DataFrame, for_training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def _costs(keys: DataFrame, langs: list[str], orders: list[DataFrame]) -> DataFrame:
+    """``key, bits`` for distinct 4-byte strings ``key``: bits per language in the order of ``langs``, from all counted strings."""
+    wanted = [keys.select("key")]
+    for k in reversed(range(ORDER)):
+        wanted.insert(0, wanted[0].select(F.col("key").bitwiseAND(F.lit((1 << 8 * (k + 1)) - 1)).alias("key")).distinct())
+    every = F.explode(F.array(*[F.lit(x) for x in langs]))
+    lower = None
+    for k, strings in enumerate(orders):
+        known = strings.select("lang", "key", F.log2((F.col("total") + F.col("followers")) / F.col("n")).alias("known"))
+        context = strings.select("lang", F.shiftright("key", 8).alias("context"), F.log2((F.col("total") + F.col("followers")) / F.col("followers")).alias("escape"))
+        met = wanted[k].select("key", every.alias("lang"), F.shiftright("key", 8).alias("context"))
+        met = met.join(known, ["lang", "key"], "left").join(context.distinct(), ["lang", "context"], "left")
+        if k == 0:
+            met = met.withColumn("below", F.lit(UNIFORM_BITS))
+        else:
+            met = met.withColumn("short", F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)))
+            met = met.join(lower.select(F.col("key").alias("short"), "lang", F.col("bits").alias("below")), ["short", "lang"])
+        bits = F.coalesce("known", F.coalesce("escape", F.lit(0.0)) + F.col("below"))
+        lower = stored(met.select("key", "lang", bits.alias("bits")), "language-costs")
+    rows = F.sort_array(F.collect_list(F.struct("lang", "bits")))
+    return lower.groupBy("key").agg(rows.getField("bits").alias("bits"))
+
+
+def _winner(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The shortest code of each column, and its share of the probability."""
+    return total.argmin(0), 1 / np.exp2(np.maximum(total.min(0) - total, -1000)).sum(0)
+
+
+def identify(
+    docs: DataFrame, for_training: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MOST_STRINGS
+) -> DataFrame:
     """One row per input row: identifier, ``lang_pred`` and ``score``, the winner's share of the probability of the text.
 
     Learns from rows that pass ``for_training`` and have a language.  A null text, or one without a letter, gets ``und`` and
     score 0, and so does every text when there is nothing to learn from.  Ties go to the name that sorts first.
-    Repeated rows give repeated rows; null identifiers stay null; other columns are ignored.
+    Repeated rows give repeated rows; null identifiers stay null; other columns are ignored.  ``most`` bounds the strings a task
+    holds and does not change results.
     """
-    trees = train(docs.where(for_training).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")))
+    learned = docs.where(for_training).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    counts = stored(count_strings(learned.where("lang IS NOT NULL")), "language-counts")
+    langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    orders = [stored(_order(counts, k), "language-order") for k in range(ORDER + 1)]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # The strings of the longest order are the most numerous.
+    if orders[ORDER].count() > most:
+        return _identify_joined(rows, langs, orders, most).withColumnRenamed("id", id_col)
+    trees = _trees(langs, orders)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,13 +207,62 @@ def identify(docs: DataFrame, for_training: Column, id_col: str = "doc_id", text
                 keys, sizes = _strings(part)
                 starts = np.cumsum(sizes) - sizes
                 total = np.add.reduceat(trees.cost(ORDER, keys.astype(np.int64)), starts, axis=1)
-                best = total.argmin(0)
-                share = 1 / np.exp2(np.maximum(total.min(0) - total, -1000)).sum(0)
+                best, share = _winner(total)
                 for j, i in enumerate(known[done : done + len(part)]):
                     names[i], scores[i] = trees.langs[best[j]], share[j]
                 done += len(part)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores)], ["id", "lang_pred", "score"])
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(batches, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def _identify_joined(rows: DataFrame, langs: list[str], orders: list[DataFrame], most: int) -> DataFrame:
+    """The same for trees that are too large for a task: costs of the texts' frequent strings are held, those of others joined."""
+    texts = rows.select(F.lit("").alias("lang"), "text")
+    found = stored(count_strings(texts).select("key", "n"), "language-found")
+    costs = stored(_costs(found, langs, orders), "language-bits")
+    held = found.orderBy(F.desc("n"), "key").limit(max(1, most // len(langs))).select("key")
+    table = costs.join(held, "key").orderBy("key").toArrow()
+    known = table.column("key").to_numpy().astype(np.int64)
+    bits = np.array(table.column("bits").to_pylist(), float).reshape(-1, len(langs)).T
+    shared = rows.sparkSession.sparkContext.broadcast((known, bits))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, bits = shared.value
+        for batch in batches:
+            sums, keys, counts = [], [], []
+            for text in batch.column(2):
+                text = text.as_py()
+                if not text or not _LETTER.search(text):
+                    sums.append(None)
+                    keys.append([])
+                    counts.append([])
+                    continue
+                key, n = np.unique(_strings([_bytes(text)])[0].astype(np.int64), return_counts=True)
+                at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                met = known[at] == key
+                sums.append((bits[:, at[met]] * n[met]).sum(1))
+                keys.append(key[~met])
+                counts.append(n[~met])
+            columns = [pa.array(sums, pa.list_(pa.float64())), pa.array(keys, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["row", "id", "sums", "keys", "counts"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    shape = f"row bigint, id {kind}, sums array<double>, keys array<bigint>, counts array<bigint>"
+    parts = stored(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(partial, shape), "language-parts")
+    rare = parts.select("row", F.explode(F.arrays_zip("keys", "counts")).alias("x")).select("row", F.col("x.keys").alias("key"), F.col("x.counts").alias("n"))
+    each = [F.sum(F.col("bits")[i] * F.col("n")) for i in range(len(langs))]
+    more = rare.join(costs, "key").groupBy("row").agg(F.array(*each).alias("more"))
+    whole = parts.select("row", "id", "sums").join(more, "row", "left").select("id", "sums", "more")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+            for i, (sums, more) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                if sums is not None:
+                    best, share = _winner((np.array(sums) + (more if more is not None else 0.0))[:, None])
+                    names[i], scores[i] = langs[best[0]], share[0]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores)], ["id", "lang_pred", "score"])
+
+    return whole.mapInArrow(settle, f"id {kind}, lang_pred string, score double")
