@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, language_model, packing, quality, sharding, simhash, suffix_dedup, toxicity
+from ..session import scratch_path
+from . import alignment, bpe, exact_dedup, language, language_model, packing, quality, records, sharding, simhash, spelling, suffix_dedup, toxicity
 from .common import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,21 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_model.scores(table(spark, sf_dir, "documents"), fold(5) != 1)
     return found.withColumn("held_out", fold(5) == 1)
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment(table(spark, sf_dir, "documents"), *paths)
+
+
+@query
+def op12_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "llm-records")
+    found = records.written_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return found.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
