@@ -37,7 +37,7 @@ class Aligner:
     def __init__(self, bpe_path: str, piece_path: str):
         encoder = text_encoder(bpe_path)
         # Special tokens' strings inside a text are plain text to this encoder.
-        self.encode_a = encoder.ranked.encode_ordinary
+        self.encode_a, self.decode_a = encoder.ranked.encode_ordinary, encoder.ranked.decode_bytes
         pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.encode_b = lambda texts: pieces.encode(texts, num_threads=1)
         self.bytes_a = [b""] * len(encoder.ends_line)
@@ -46,7 +46,10 @@ class Aligner:
         self.bytes_b = [_piece_bytes(pieces, i) for i in range(pieces.vocab_size())]
         self.size_a, self.size_b = len(self.bytes_a), len(self.bytes_b)
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.names = [str(i) for i in range(max(self.size_a, self.size_b))]
+        names = np.array([str(i) for i in range(max(self.size_a, self.size_b))], "S")
+        self.digits_of = np.strings.str_len(names)
+        # Digits of each id, with room for the mark behind it.
+        self.digits = np.pad(names.view(np.uint8).reshape(len(names), -1), ((0, 0), (0, 1)))
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B of each text; none where the text is null or empty or the tokens' bytes are not the text's."""
@@ -59,8 +62,8 @@ class Aligner:
             spaced = " " + text
             a = self.encode_a(spaced)
             expected = spaced.encode()
-            same = b"".join([self.bytes_a[i] for i in a]) == expected and b"".join([self.bytes_b[i] for i in b]) == expected
-            yield (np.array(array("I", a), np.int64), np.array(b, np.int64)) if same else (none, none)
+            same = self.decode_a(a) == expected and b"".join([self.bytes_b[i] for i in b]) == expected
+            yield tuple(np.array(array("I", ids), np.int64) for ids in (a, b)) if same else (none, none)
 
     def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
         """Numbers of A's and of B's tokens up to each end that both share."""
@@ -93,17 +96,19 @@ class Aligner:
             keys, times = both, sums
         return keys, times
 
-    def written(self, a: np.ndarray, b: np.ndarray, cut_a: list[int], cut_b: list[int]) -> str:
+    def written(self, a: np.ndarray, b: np.ndarray, cut_a: list[int], cut_b: list[int]) -> bytes:
         """Groups as text: ids of A, a bar, ids of B; groups are parted by semicolons."""
-        names_a, names_b = [self.names[i] for i in a.tolist()], [self.names[i] for i in b.tolist()]
-        parts, i, j = [], 0, 0
-        for x, y in zip(cut_a, cut_b):
-            if x - i == 1 and y - j == 1:
-                parts.append(f"{names_a[i]}|{names_b[j]}")
-            else:
-                parts.append(f"{','.join(names_a[i:x])}|{','.join(names_b[j:y])}")
-            i, j = x, y
-        return ";".join(parts)
+        stop_a, stop_b = np.array(cut_a, np.int64), np.array(cut_b, np.int64)
+        ids, marks = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        # A token stands behind all tokens of earlier groups, and one of B also behind its own group's of A.
+        ids[np.arange(len(a)) + np.repeat(np.concatenate(([0], stop_b[:-1])), np.diff(stop_a, prepend=0))] = a
+        ids[np.arange(len(b)) + np.repeat(stop_a, np.diff(stop_b, prepend=0))] = b
+        marks[stop_a + np.concatenate(([0], stop_b[:-1])) - 1] = ord("|")
+        marks[stop_a + stop_b - 1] = ord(";")
+        size = self.digits_of[ids]
+        text = self.digits[ids]
+        text[np.arange(len(ids)), size] = marks
+        return text[np.arange(text.shape[1]) <= size[:, None]][:-1].tobytes()
 
 
 def _piece_bytes(pieces: sentencepiece.SentencePieceProcessor, i: int) -> bytes:
@@ -134,9 +139,9 @@ def aligned(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_
             made = []
             for a, b in both.encode(batch.column(2).to_pylist()):
                 cut = both.cuts(a, b)
-                text = both.written(a, b, *cut)
-                digest = hashlib.sha256(text.encode()).hexdigest() if len(a) else ""
-                made.append((len(a), len(b), len(cut[0]), digest, *both.links(a, b, *cut), *([text] if groups else [])))
+                text = both.written(a, b, *cut) if len(a) else b""
+                digest = hashlib.sha256(text).hexdigest() if len(a) else ""
+                made.append((len(a), len(b), len(cut[0]), digest, *both.links(a, b, *cut), *([text.decode()] if groups else [])))
             kinds = [pa.int64()] * 3 + [pa.string()] + [pa.list_(pa.int64())] * 2 + [pa.string()] * groups
             columns = [pa.array(list(c), k) for c, k in zip(zip(*made), kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], _FOUND + ["groups"] * groups)
