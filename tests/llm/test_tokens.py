@@ -146,3 +146,31 @@ def test_shards_keep_groups_together(spark, no_rows):
     assert sum(n for _, n in where["hot"].most_common(4)) >= 0.8 * 400
     assert sum(len(where[f"group {i}"]) > 1 for i in range(100)) <= 15
     assert sharding.balanced_shards(no_rows, 10).collect() == []
+
+
+def test_no_group_is_cut_where_none_has_to_be(spark):
+    """Rows that are alone can fill every shard, so the fewest groups that must be cut are none; cuts are compared with that."""
+    rng = random.Random(6)
+    rows = []
+    for g in range(60):
+        rows += [(len(rows) + i, f"group {g}", None, None, 0) for i in range(rng.randint(2, 5))]
+    rows += [(len(rows) + i, prose(rng, 8), None, None, 0) for i in range(400)]
+    found = sharding.balanced_shards(spark.createDataFrame(rows, SCHEMA).repartition(3), 6).collect()
+    check_shards(found, rows, 6)
+    text, where = {r[0]: r[1] for r in rows}, defaultdict(set)
+    for r in found:
+        where[text[r["doc_id"]]].add(r["shard"])
+    assert sum(len(s) > 1 for s in where.values()) == 0
+
+
+def test_shards_without_room_for_all(spark):
+    """Groups that fill the shards to the last row: some must be cut, none is lost, and the rounds end."""
+    rows = [(i, f"group {i // 3}", None, None, 0) for i in range(40)]
+    found = sharding.balanced_shards(spark.createDataFrame(rows, SCHEMA).repartition(3), 4).collect()
+    check_shards(found, rows, 4)
+
+
+def test_cutoffs_fill_the_room():
+    """Draws are granted from the lowest on, up to the first that no longer fits."""
+    asks = [{"target": t, "draw": d, "n": n} for t, d, n in [(0, 5, 3), (0, 2, 4), (0, 9, 1), (1, 0, 9), (2, 7, 2)]]
+    assert sharding._cutoffs(asks, [7, 8, 2]) == {0: 6, 2: 8}
