@@ -46,5 +46,17 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    met = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    # A node may have very many smaller neighbours.
+    met = hot_key_join(edges, least, ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return met.union(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def united(groups: DataFrame, fresh: DataFrame) -> DataFrame:
+    """``groups`` (node, root) after further links ``u, v``: only the roots that these links join are worked on."""
+    named = groups.select(F.col("node").alias("u"), F.col("root").alias("ru"))
+    ends = hot_key_join(fresh.select("u", "v"), named, ["u"], "left")
+    ends = hot_key_join(ends, named.toDF("v", "rv"), ["v"], "left")
+    more = stored(components(ends.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))), "united-roots")
+    # A root may name a large share of all nodes.
+    moved = hot_key_join(groups, more.toDF("root", "next"), ["root"], "left").select("node", F.coalesce("next", "root").alias("root"))
+    return stored(moved.union(more.join(groups, "node", "left_anti").select("node", "root")), "united")

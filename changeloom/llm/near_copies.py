@@ -1,8 +1,10 @@
 """Near copies by the similarity of their word shingles.
 
-Each text gets minimum hashes of its set of word shingles, taken in bands; texts that agree in a whole band are candidates.
-A pair of candidates is linked only if the exact Jaccard similarity of the two shingle sets reaches the threshold, so the
-bands decide what is compared and never what is a copy.
+Candidates come from two places.  The Gray-order index over SimHash fingerprints of the shingles finds close copies, whole families of
+them at once; its fingerprints are too short to find a similarity of 0.8 surely.  Therefore each text also gets minimum
+hashes of its set of word shingles, taken in bands, and texts that agree in a whole band are candidates unless they are in
+one group already.  A pair of candidates is linked only if the exact Jaccard similarity of the two shingle sets reaches
+the threshold, so fingerprints and bands decide what is compared and never what is a copy.
 """
 
 from __future__ import annotations
@@ -17,15 +19,17 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import hot_key_join
 from .common import slices, stored, words_of
-from .graph import components
-from .simhash import SEED
+from .graph import components, united
+from .simhash import SEED, code_links, fingerprints
 
 # A pair of similarity s agrees in some band with probability 1 - (1 - s**DEPTH)**BANDS: 0.9996 at 0.8.
 BANDS = 20
 DEPTH = 5
 # Within buckets of at most so many texts all pairs are compared; in larger ones all texts meet pivots first.
 SMALL = 32
-PIVOT_ROUNDS = 1
+PIVOT_ROUNDS = 2
+# Differing bits up to which the Gray-order index takes fingerprints together.
+CLOSE_BITS = 4
 
 _random = np.random.default_rng(SEED)
 _FLIPS = _random.integers(0, 1 << 64, (BANDS, DEPTH, 1), np.uint64)
@@ -53,7 +57,7 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
         for at in range(0, len(hashes), HASHES_AT_ONCE):
             np.minimum(least, ((hashes[at : at + HASHES_AT_ONCE] ^ _FLIPS[band]) * _FACTORS[band]).min(1), out=least)
         mixed = (least ^ (least >> np.uint64(32))) * _MIXERS[band]
-        keys[band] = (mixed ^ (mixed >> np.uint64(29))).sum(dtype=np.uint64) * _MIXERS[band, 0]
+        keys[band] = ((mixed ^ (mixed >> np.uint64(29))).sum(dtype=np.uint64, keepdims=True) * _MIXERS[band, :1])[0]
     return keys
 
 
@@ -87,13 +91,25 @@ def similar(texts: DataFrame, pairs: DataFrame, shingle: int, share: tuple[int,
     """Those pairs ``u, v`` whose shingle sets have a Jaccard similarity of ``share`` (a fraction) or more."""
     part, whole = share
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    sets = stored(_sets(texts.join(ids, "id", "left_semi"), shingle), "near-sets")
-    met = hot_key_join(pairs, sets.toDF("u", "left"), ["u"], "inner")
-    met = hot_key_join(met, sets.toDF("v", "right"), ["v"], "inner")
+    sets = stored(_sets(texts.join(ids.hint("merge"), "id", "left_semi"), shingle), "near-sets")
+    # Sets are far larger in memory than as files, so they are never broadcast.
+    met = hot_key_join(pairs, sets.toDF("u", "left").hint("merge"), ["u"], "inner")
+    met = hot_key_join(met, sets.toDF("v", "right").hint("merge"), ["v"], "inner")
     both = F.size(F.array_intersect("left", "right"))
     return met.where(both * (part + whole) >= (F.size("left") + F.size("right")) * part).select("u", "v")
 
 
+def close_copies(texts: DataFrame, shingle: int, bits: int) -> DataFrame:
+    """Candidates ``u, v`` by SimHash: texts of one fingerprint with the first of them, and what the Gray-order index links."""
+    codes = stored(fingerprints(texts, shingle, "id"), "near-codes")
+    classes = stored(codes.groupBy("code").agg(F.min("id").alias("least")), "near-classes")
+    equal = hot_key_join(codes, classes.hint("merge"), ["code"], "inner").where("id <> least").select(F.col("least").alias("u"), F.col("id").alias("v"))
+    linked = code_links(classes, bits).select(F.col("u").alias("code"), F.col("v").alias("other"))
+    linked = linked.join(classes.hint("merge"), "code").select("other", F.col("least").alias("one"))
+    linked = hot_key_join(linked, classes.toDF("other", "two").hint("merge"), ["other"], "inner")
+    return equal.union(linked.select(*_ordered("one", "two"))).distinct()
+
+
 def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
@@ -104,35 +120,40 @@ def near_groups(texts: DataFrame, shingle: int = 5, share: tuple[int, int] = (4,
     Two texts are near copies when the Jaccard similarity of their word shingles is ``share`` or more; ``root`` is the smallest
     ``id`` reached over any number of near copies.  Texts without words are copies of each other.  An empty table gives none.
 
-    Of small buckets all pairs are compared.  In a large one all texts meet a few pivots, which joins a family of close copies
-    in linear time; then all pairs that are still in different groups are compared, so no candidate is left out.
+    Of small buckets all pairs of different groups are compared.  In a large one all texts that are in another group than a pivot meet
+    it, which joins a family of copies in linear time; then all pairs that are still in different groups are compared, so
+    no candidate is left out.
     """
     part, whole = share
 
     def alike(a: str, b: str):
         return F.least(a, b) * whole >= F.greatest(a, b) * part
 
+    texts = texts.select("id", "text")
+    close = stored(close_copies(texts, shingle, CLOSE_BITS), "near-close")
+    groups = stored(components(stored(similar(texts, close, shingle, share), "near-links")), "near-groups")
     keys = stored(_buckets(texts, shingle), "near-keys")
-    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "size")).alias("pivot")).where("n > 1")
-    met = stored(hot_key_join(keys, counts, ["key"], "inner").select("id", "size", "key", "n", "pivot"), "near-buckets")
-    held = met.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "size"))).alias("texts"))
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = hot_key_join(keys, counts.hint("merge"), ["key"], "inner")
+    named = hot_key_join(met, groups.withColumnRenamed("node", "id").hint("merge"), ["id"], "left")
+    met = stored(named.select("id", "size", "key", "n", F.coalesce("root", "id").alias("root")), "near-buckets")
+    held = met.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "size", "root"))).alias("texts"))
     firsts = held.select(F.posexplode("texts").alias("at", "a"), "texts")
-    pairs = firsts.select("a", F.explode(F.expr("slice(texts, at + 2, size(texts))")).alias("b"))
-    pairs = pairs.where(alike("a.size", "b.size")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
-    large = met.where(F.col("n") > SMALL).select("id", "size", "key", "pivot")
-    starred = large.where((F.col("id") != F.col("pivot.id")) & alike("size", "pivot.size")).select(*_ordered("id", "pivot.id"))
-    tested = stored(pairs.union(starred).distinct(), "near-pairs")
-    links = stored(similar(texts, tested, shingle, share), "near-links")
-    groups = stored(components(links), "near-groups")
+    pairs = firsts.select("a", F.explode(F.expr("slice(texts, at + 2, size(texts))")).alias("b")).where("a.root <> b.root")
+    pairs = pairs.where(alike("a.size", "b.size")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
+    tested = stored(pairs.join(close.hint("merge"), ["u", "v"], "left_anti"), "near-pairs")
+    groups = united(groups, stored(similar(texts, tested, shingle, share), "near-links"))
+    tested = tested.union(close)
+    large = met.where(F.col("n") > SMALL).select("id", "size", "key")
     for turn in range(PIVOT_ROUNDS + 1):
         # Large buckets whose texts are in several groups.
-        named = hot_key_join(large, groups.withColumnRenamed("node", "id"), ["id"], "left")
+        named = hot_key_join(large, groups.withColumnRenamed("node", "id").hint("merge"), ["id"], "left")
         named = named.select("id", "size", "key", F.coalesce("root", "id").alias("root"))
         open_ = named.groupBy("key").agg(
             F.min("root").alias("low"), F.max("root").alias("high"),
             F.min(F.struct(F.xxhash64("root", F.lit(turn)), F.xxhash64("id", F.lit(turn)), "id", "size", "root")).alias("pivot"),
         ).where("low < high").select("key", "pivot")
-        large = stored(hot_key_join(named, open_, ["key"], "inner").select("id", "size", "key", "root", "pivot"), "near-open")
+        large = stored(hot_key_join(named, open_.hint("merge"), ["key"], "inner").select("id", "size", "key", "root", "pivot"), "near-open")
         if large.isEmpty():
             break
         if turn < PIVOT_ROUNDS:
@@ -141,11 +162,10 @@ def near_groups(texts: DataFrame, shingle: int = 5, share: tuple[int, int] = (4,
             a, b = (large.select("key", *[F.col(c).alias(c + x) for c in ("id", "size", "root")]) for x in "ab")
             met = hot_key_join(a, b, ["key"], "inner").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")))
             more = met.where(alike("sizea", "sizeb")).select(F.col("ida").alias("u"), F.col("idb").alias("v"))
-        more = stored(more.distinct().join(tested, ["u", "v"], "left_anti"), "near-pairs")
+        more = stored(more.distinct().join(tested.hint("merge"), ["u", "v"], "left_anti"), "near-pairs")
         tested = tested.union(more)
         fresh = stored(similar(texts, more, shingle, share), "near-links")
-        links = links.union(fresh)
         if not fresh.isEmpty():
-            groups = stored(components(links), "near-groups")
+            groups = united(groups, fresh)
         large = large.select("id", "size", "key")
     return groups

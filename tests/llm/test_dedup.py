@@ -119,6 +119,20 @@ def test_gray_index_finds_all_pairs_and_prunes():
     assert all((np.diff(simhash.gray_rank(codes).astype(float)) > 0).tolist())
 
 
+def test_components_of_a_hub_and_united_groups(spark):
+    """A node with a third of all links, and further links joined to groups as if all links had come at once."""
+    rng = random.Random(8)
+    pairs = [(900, i) for i in range(300)] + [(rng.randint(0, 2000), rng.randint(0, 2000)) for _ in range(600)]
+    first, more = pairs[:500], pairs[500:]
+    links = [spark.createDataFrame(part, "u bigint, v bigint") for part in (pairs, first, more)]
+    whole = dict(map(tuple, graph.components(links[0]).collect()))
+    found = graph.united(graph.components(links[1]), links[2]).collect()
+    assert len(found) == len(whole) and {r["node"]: r["root"] for r in found} == whole
+    none = spark.createDataFrame([], "u bigint, v bigint")
+    assert dict(map(tuple, graph.united(graph.components(none), links[0]).collect())) == whole
+    assert dict(map(tuple, graph.united(graph.components(links[0]), none).collect())) == whole
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)]
