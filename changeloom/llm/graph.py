@@ -1,4 +1,7 @@
-"""Connected components by large-star and small-star joins."""
+"""Connected components by large-star and small-star joins.
+
+Joins are merge joins: there are several in each round, and a broadcast each would fill the driver with small tables.
+"""
 
 from __future__ import annotations
 
@@ -41,22 +44,22 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     larger = both.where("v > u")
-    return hot_key_join(larger, least, ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return hot_key_join(larger, least.hint("merge"), ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     # A node may have very many smaller neighbours.
-    met = hot_key_join(edges, least, ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    met = hot_key_join(edges, least.hint("merge"), ["u"], "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
     return met.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def united(groups: DataFrame, fresh: DataFrame) -> DataFrame:
     """``groups`` (node, root) after further links ``u, v``: only the roots that these links join are worked on."""
     named = groups.select(F.col("node").alias("u"), F.col("root").alias("ru"))
-    ends = hot_key_join(fresh.select("u", "v"), named, ["u"], "left")
-    ends = hot_key_join(ends, named.toDF("v", "rv"), ["v"], "left")
+    ends = hot_key_join(fresh.select("u", "v"), named.hint("merge"), ["u"], "left")
+    ends = hot_key_join(ends, named.toDF("v", "rv").hint("merge"), ["v"], "left")
     more = stored(components(ends.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))), "united-roots")
     # A root may name a large share of all nodes.
-    moved = hot_key_join(groups, more.toDF("root", "next"), ["root"], "left").select("node", F.coalesce("next", "root").alias("root"))
-    return stored(moved.union(more.join(groups, "node", "left_anti").select("node", "root")), "united")
+    moved = hot_key_join(groups, more.toDF("root", "next").hint("merge"), ["root"], "left").select("node", F.coalesce("next", "root").alias("root"))
+    return stored(moved.union(more.join(groups.hint("merge"), "node", "left_anti").select("node", "root")), "united")

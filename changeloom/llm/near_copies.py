@@ -2,8 +2,7 @@
 
 Candidates come from two places.  The Gray-order index over SimHash fingerprints of the shingles finds close copies, whole families of
 them at once; its fingerprints are too short to find a similarity of 0.8 surely.  Therefore each text also gets minimum
-hashes of its set of word shingles, taken in bands, and texts that agree in a whole band are candidates unless they are in
-one group already.  A pair of candidates is linked only if the exact Jaccard similarity of the two shingle sets reaches
+hashes of its set of word shingles, taken in bands, and texts that agree in a whole band are candidates too.  A pair of candidates is linked only if the exact Jaccard similarity of the two shingle sets reaches
 the threshold, so fingerprints and bands decide what is compared and never what is a copy.
 """
 
@@ -107,7 +106,7 @@ def close_copies(texts: DataFrame, shingle: int, bits: int) -> DataFrame:
     linked = code_links(classes, bits).select(F.col("u").alias("code"), F.col("v").alias("other"))
     linked = linked.join(classes.hint("merge"), "code").select("other", F.col("least").alias("one"))
     linked = hot_key_join(linked, classes.toDF("other", "two").hint("merge"), ["other"], "inner")
-    return equal.union(linked.select(*_ordered("one", "two"))).distinct()
+    return equal.union(linked.select(*_ordered("one", "two")))
 
 
 def _ordered(a: str, b: str) -> list:
@@ -120,7 +119,7 @@ def near_groups(texts: DataFrame, shingle: int = 5, share: tuple[int, int] = (4,
     Two texts are near copies when the Jaccard similarity of their word shingles is ``share`` or more; ``root`` is the smallest
     ``id`` reached over any number of near copies.  Texts without words are copies of each other.  An empty table gives none.
 
-    Of small buckets all pairs of different groups are compared.  In a large one all texts that are in another group than a pivot meet
+    Of small buckets all pairs are compared.  In a large one all texts that are in another group than a pivot meet
     it, which joins a family of copies in linear time; then all pairs that are still in different groups are compared, so
     no candidate is left out.
     """
@@ -130,21 +129,18 @@ def near_groups(texts: DataFrame, shingle: int = 5, share: tuple[int, int] = (4,
         return F.least(a, b) * whole >= F.greatest(a, b) * part
 
     texts = texts.select("id", "text")
-    close = stored(close_copies(texts, shingle, CLOSE_BITS), "near-close")
-    groups = stored(components(stored(similar(texts, close, shingle, share), "near-links")), "near-groups")
     keys = stored(_buckets(texts, shingle), "near-keys")
-    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "size")).alias("pivot")).where("n > 1")
     met = hot_key_join(keys, counts.hint("merge"), ["key"], "inner")
-    named = hot_key_join(met, groups.withColumnRenamed("node", "id").hint("merge"), ["id"], "left")
-    met = stored(named.select("id", "size", "key", "n", F.coalesce("root", "id").alias("root")), "near-buckets")
-    held = met.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "size", "root"))).alias("texts"))
+    met = stored(met.select("id", "size", "key", "n", "pivot"), "near-buckets")
+    held = met.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "size"))).alias("texts"))
     firsts = held.select(F.posexplode("texts").alias("at", "a"), "texts")
-    pairs = firsts.select("a", F.explode(F.expr("slice(texts, at + 2, size(texts))")).alias("b")).where("a.root <> b.root")
-    pairs = pairs.where(alike("a.size", "b.size")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
-    tested = stored(pairs.join(close.hint("merge"), ["u", "v"], "left_anti"), "near-pairs")
-    groups = united(groups, stored(similar(texts, tested, shingle, share), "near-links"))
-    tested = tested.union(close)
-    large = met.where(F.col("n") > SMALL).select("id", "size", "key")
+    pairs = firsts.select("a", F.explode(F.expr("slice(texts, at + 2, size(texts))")).alias("b"))
+    pairs = pairs.where(alike("a.size", "b.size")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v"))
+    large = met.where(F.col("n") > SMALL).select("id", "size", "key", "pivot")
+    starred = large.where((F.col("id") != F.col("pivot.id")) & alike("size", "pivot.size")).select(*_ordered("id", "pivot.id"))
+    tested = stored(close_copies(texts, shingle, CLOSE_BITS).union(pairs).union(starred).distinct(), "near-pairs")
+    groups = stored(components(stored(similar(texts, tested, shingle, share), "near-links")), "near-groups")
     for turn in range(PIVOT_ROUNDS + 1):
         # Large buckets whose texts are in several groups.
         named = hot_key_join(large, groups.withColumnRenamed("node", "id").hint("merge"), ["id"], "left")

@@ -233,6 +233,7 @@ def code_links(codes: DataFrame, bits: int, bucket: int = BUCKET) -> DataFrame:
         if large.isEmpty():
             ready = keyed if ready is None else ready.union(keyed)
             break
+        large = large.hint("merge")
         small = hot_key_join(keyed, large, ["key"], "left_anti")
         ready = small if ready is None else ready.union(small)
         wide = hot_key_join(keyed, large, ["key"], "left_semi").select(*keyed.columns)
@@ -253,7 +254,7 @@ def near_duplicates(
     codes = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = stored(codes.groupBy("code").agg(F.min(id_col).alias("least")), "classes")
     roots = components(code_links(classes, bits, bucket))
-    member = classes.join(roots.withColumnRenamed("node", "code"), "code", "left").select(
+    member = classes.join(roots.withColumnRenamed("node", "code").hint("merge"), "code", "left").select(
         "code", F.coalesce("root", "code").alias("root"), "least"
     )
     # A family of near copies may hold a large share of the codes: its root is a hot key.
