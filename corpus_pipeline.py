@@ -23,7 +23,11 @@ SEQUENCE = 2048
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learn from the labels and drop documents that score 0.5 or more."""
+    """Learn from the labels and drop documents that score 0.5 or more.
+
+    A null or empty text is scored like any other; equal texts get equal scores, so repeated rows stay or go together.  Without
+    labels of toxic documents, and in an empty table, nothing is dropped beyond what the scores say.
+    """
     docs = docs.select(*COLUMNS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels, F.lit(True))
@@ -54,14 +58,18 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     rows = _keyed(docs, "near-rows")
     groups = near_copies.near_groups(rows.select(F.col("row").alias("id"), "text"), SHINGLE_WORDS, NEAR_SHARE)
-    member = stored(rows.select(_place().alias("place"), "row").join(groups.withColumnRenamed("node", "row"), "row"), "near-members")
+    member = stored(rows.select(_place().alias("place"), "row").join(groups.withColumnRenamed("node", "row").hint("merge"), "row"), "near-members")
     first = member.groupBy("root").agg(F.min("place").alias("first"))
-    extra = hot_key_join(member, first, ["root"], "inner").where(F.col("row") != F.col("first.row")).select("row")
+    extra = hot_key_join(member, first.hint("merge"), ["root"], "inner").where(F.col("row") != F.col("first.row")).select("row")
     return rows.join(extra, "row", "left_anti").select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that occurred earlier are cut out; a character of which a part is cut goes as a whole."""
+    """Byte strings that occurred earlier are cut out; a character of which a part is cut goes as a whole.
+
+    Every row stays, with an empty text if all of it occurred earlier; a null text becomes the empty text.  Earlier is by identifier, null
+    last, and of one identifier by a hash of the text; rows that repeat both are one document.  An empty table gives no rows.
+    """
     found = suffix_dedup.remove_repeats(docs, length=REPEAT_BYTES, carry=("lang", "source"))
     text = F.try_validate_utf8(F.col("kept").cast("string"))
     whole = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))
@@ -69,7 +77,10 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens; one row per piece."""
+    """Sequences of at most 2048 tokens; one row per piece.
+
+    A null or empty text gives the end id alone; repeated rows are packed as often as they occur; an empty table gives no rows.
+    """
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), length=SEQUENCE)
 
 
