@@ -1,10 +1,15 @@
 """Connected components by large-star and small-star joins.
 
-Joins are merge joins: there are several in each round, and a broadcast each would fill the driver with small tables.
+Joins are merge joins: there are several in each round, and a broadcast each would fill the driver with small tables.  Before each
+round the links that a task holds are joined there, so a round starts from few links and few rounds are needed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,32 +17,70 @@ from ..operators.joins import hot_key_join
 from .common import stored
 
 MOST_ROUNDS = 64
+# Links that a task joins at a time.
+LINKS_AT_ONCE = 1 << 19
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for each node of the edges ``u, v``: root is the smallest node it reaches.
+    """``node, root`` for each node of the edges ``u, v`` (whole numbers): root is the smallest node it reaches.
 
     Each round links every node's neighbours to the smallest of them, first the larger ones and then
     the smaller ones, until all edges point from a node to its root.  The number of rounds is logarithmic in
     practice; each is written to the shared folder.  Loops and repeated edges do no harm; null ends are dropped.
     """
-    stars = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    stars = stored(stars, "edges")
-    before = _state(stars)
+    stars = _forest(edges.where("u <> v").select("u", "v"))
     for _ in range(MOST_ROUNDS):
-        stars = stored(_small_star(_large_star(stars)), "stars")
-        after = _state(stars)
-        if after == before:
+        stars = stored(stars.distinct(), "stars")
+        if _settled(stars):
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        before = after
+        stars = _forest(_small_star(_large_star(stars)))
     raise RuntimeError(f"components did not settle in {MOST_ROUNDS} rounds")
 
 
-def _state(edges: DataFrame) -> tuple:
-    hashes = F.xxhash64("u", "v").cast("decimal(38,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(hashes)).first())
+def local_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for links in memory: nodes that are not their own root, and their roots."""
+    nodes, at = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b, label = at[: len(u)], at[len(u) :], np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        apart = low != high
+        if not apart.any():
+            break
+        np.minimum.at(label, high[apart], low[apart])
+        while not (label[label] == label).all():
+            label = label[label]
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[moved], nodes[label[moved]]
+
+
+def _forest(edges: DataFrame) -> DataFrame:
+    """Links ``u, v``, the larger node first, that connect what the edges of one task at a time connect."""
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def joined() -> pa.RecordBatch:
+            u, v = local_roots(*(np.concatenate(x) for x in zip(*held)))
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+        for batch in found:
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            if sum(len(x[0]) for x in held) >= LINKS_AT_ONCE:
+                yield joined()
+                held = []
+        if held:
+            yield joined()
+
+    return edges.select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v")).mapInArrow(batches, "u bigint, v bigint")
+
+
+def _settled(stars: DataFrame) -> bool:
+    """Each node has one edge, and no root has one."""
+    twice = stars.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+    roots = stars.select(F.col("v").alias("u")).distinct()
+    return twice.union(stars.join(roots.hint("merge"), "u", "left_semi").select("u")).isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
