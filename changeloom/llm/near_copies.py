@@ -27,6 +27,8 @@ DEPTH = 5
 # Within buckets of at most so many texts all pairs are compared; in larger ones all texts meet pivots first.
 SMALL = 32
 PIVOT_ROUNDS = 2
+# Tasks over which the pairs of a text, or of a bucket, that is frequent are spread; what they meet is copied so often.
+SPREAD = 32
 # Differing bits up to which the Gray-order index takes fingerprints together.
 CLOSE_BITS = 4
 
@@ -92,8 +94,8 @@ def similar(texts: DataFrame, pairs: DataFrame, shingle: int, share: tuple[int,
     ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
     sets = stored(_sets(texts.join(ids.hint("merge"), "id", "left_semi"), shingle), "near-sets")
     # Sets are far larger in memory than as files, so they are never broadcast.
-    met = hot_key_join(pairs, sets.toDF("u", "left").hint("merge"), ["u"], "inner")
-    met = hot_key_join(met, sets.toDF("v", "right").hint("merge"), ["v"], "inner")
+    met = hot_key_join(pairs, sets.toDF("u", "left").hint("merge"), ["u"], "inner", SPREAD)
+    met = hot_key_join(met, sets.toDF("v", "right").hint("merge"), ["v"], "inner", SPREAD)
     both = F.size(F.array_intersect("left", "right"))
     return met.where(both * (part + whole) >= (F.size("left") + F.size("right")) * part).select("u", "v")
 
@@ -156,7 +158,7 @@ def near_groups(texts: DataFrame, shingle: int = 5, share: tuple[int, int] = (4,
             more = large.where((F.col("root") != F.col("pivot.root")) & alike("size", "pivot.size")).select(*_ordered("id", "pivot.id"))
         else:
             a, b = (large.select("key", *[F.col(c).alias(c + x) for c in ("id", "size", "root")]) for x in "ab")
-            met = hot_key_join(a, b, ["key"], "inner").where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")))
+            met = hot_key_join(a, b.hint("merge"), ["key"], "inner", SPREAD).where((F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")))
             more = met.where(alike("sizea", "sizeb")).select(F.col("ida").alias("u"), F.col("idb").alias("v"))
         more = stored(more.distinct().join(tested.hint("merge"), ["u", "v"], "left_anti"), "near-pairs")
         tested = tested.union(more)
