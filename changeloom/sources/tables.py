@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,14 +66,14 @@ def upsert_batch(
 ) -> None:
     """Write one micro-batch of flattened rows: the latest row per key.
 
-    Each batch has its own directory, replaced when the batch is retried, so a
-    retry changes nothing and no earlier data is rewritten.  Where rows carry an
+    Each attempt has its own directory, and readers see it once its entry in the list of finished parts is there, so
+    half a batch is never read, a retry changes nothing and no earlier data is rewritten.  Where rows carry an
     operation, events that say nothing about a row are left out first, as in a batch.
     """
     rows = settling(batch) if "op" in batch.columns else batch
-    latest_per_key(rows, pk, order).write.mode("overwrite").parquet(
-        f"{target}/batch_id={batch_id}"
-    )
+    folder = f"{target.rstrip('/')}/batch_id={batch_id}/attempt={uuid.uuid4().hex}"
+    latest_per_key(rows, pk, order).write.parquet(folder)
+    _finish(batch.sparkSession, target, "batch", batch_id, folder)
 
 
 def sink_upsert(change: DataFrame, target: str, pk: Sequence[str], order: Sequence[str], checkpoint: str):
@@ -94,20 +96,57 @@ def read_upserted(
     deleted: str = "__deleted",
 ) -> DataFrame:
     """The table in ``target``: latest row per key over all batches, without deletes."""
-    rows = _batches(spark, target)
+    rows = delivered(spark, target)
     latest = latest_per_key(rows, pk, order)
     return latest.where(F.col(deleted) == "false").drop(deleted) if deleted in rows.columns else latest
 
 
-def _batches(spark: SparkSession, target: str) -> DataFrame:
-    """Rows of the newest base, if there is one, and of the batches after it."""
-    batches = spark.read.parquet(target)
-    bases = _bases(spark, target)
-    if not bases:
-        return batches.drop("batch_id")
-    upto = max(bases)
-    later = batches.where(F.col("batch_id") > upto).drop("batch_id")
-    return spark.read.schema(later.schema).parquet(f"{base_folder(target)}/upto={upto}").unionByName(later)
+def delivered(spark: SparkSession, target: str) -> DataFrame:
+    """Rows of the newest base, if there is one, and of the finished batches after it.
+
+    The parts are fixed when this is called: what is written or compacted later does not change the result.
+    """
+    _, base, batches = _parts(spark, target)
+    return _rows(spark, base, batches)
+
+
+def _rows(spark: SparkSession, base: str | None, batches: dict[int, str]) -> DataFrame:
+    folders = [batches[n] for n in sorted(batches)]
+    later = spark.read.parquet(*folders) if folders else None
+    if base is None:
+        return later
+    held = spark.read.parquet(base)
+    return held if later is None else held.unionByName(later, allowMissingColumns=True)
+
+
+_FINISHED = "kind string, number bigint, folder string, made timestamp"
+
+
+def finished_folder(target: str) -> str:
+    """Where the list of finished parts lies: one small file per part, added in one step."""
+    return f"{target.rstrip('/')}-finished"
+
+
+def _finish(spark: SparkSession, target: str, kind: str, number: int, folder: str) -> None:
+    entry = spark.range(1).select(
+        F.lit(kind).alias("kind"), F.lit(number).cast("long").alias("number"), F.lit(folder).alias("folder"), F.current_timestamp().alias("made")
+    )
+    entry.coalesce(1).write.mode("append").parquet(finished_folder(target))
+
+
+def _parts(spark: SparkSession, target: str) -> tuple[int | None, str | None, dict[int, str]]:
+    """Last batch in the newest finished base, the base's folder, and folders of finished batches after it."""
+    try:
+        entries = spark.read.schema(_FINISHED).parquet(finished_folder(target))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ValueError(f"no batch of {target} is finished") from error
+    newest = entries.where("kind = 'base'").agg(F.max_by(F.struct("number", "folder"), F.struct("number", "made")).alias("n")).first()["n"]
+    upto, base = (newest["number"], newest["folder"]) if newest else (None, None)
+    later = entries.where("kind = 'batch'" + ("" if upto is None else f" AND number > {upto}"))
+    found = later.groupBy("number").agg(F.max_by("folder", "made").alias("folder")).collect()
+    return upto, base, {r["number"]: r["folder"] for r in found}
 
 
 def base_folder(target: str) -> str:
@@ -115,30 +154,18 @@ def base_folder(target: str) -> str:
     return f"{target.rstrip('/')}-base"
 
 
-def _bases(spark: SparkSession, target: str) -> list[int]:
-    """Numbers of the last batch in each finished base; a base counts once its success mark is there."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base_folder(target)}/upto=*/_SUCCESS")
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = system.globStatus(path) or []
-    return [int(f.getPath().getParent().getName().removeprefix("upto=")) for f in found]
-
-
 def compact_target(spark: SparkSession, target: str, pk: Sequence[str], order: Sequence[str]) -> int | None:
-    """Merge all batches so far into a new base, which readers use from then on; returns the last batch merged.
+    """Merge all finished batches so far into a new base, which readers use from then on; returns the last batch merged.
 
-    The sink may go on writing: later batches are read on top of the base.  Folders of merged batches and older
-    bases may then be removed.
+    The sink may go on writing: later batches are read on top of the base, and a batch that is not finished yet is not merged.
+    Readers go over to the base in one step, when its entry is written.  Folders of merged batches and older bases may be removed
+    once nobody reads them any more.
     """
-    last = spark.read.parquet(target).agg(F.max("batch_id")).first()[0]
-    bases = _bases(spark, target)
-    if last is None or (bases and max(bases) >= last):
-        return max(bases, default=None)
-    merged = spark.read.parquet(target).where(F.col("batch_id") <= last)
-    if bases:
-        rows = merged.where(F.col("batch_id") > max(bases)).drop("batch_id")
-        held = spark.read.schema(rows.schema).parquet(f"{base_folder(target)}/upto={max(bases)}")
-        rows = held.unionByName(rows)
-    else:
-        rows = merged.drop("batch_id")
-    latest_per_key(rows, pk, order).write.mode("overwrite").parquet(f"{base_folder(target)}/upto={last}")
+    upto, base, batches = _parts(spark, target)
+    if not batches:
+        return upto
+    last = max(batches)
+    folder = f"{base_folder(target)}/upto={last}"
+    latest_per_key(_rows(spark, base, batches), pk, order).write.mode("overwrite").parquet(folder)
+    _finish(spark, target, "base", last, folder)
     return int(last)

@@ -16,7 +16,7 @@ from ..operators.aggregates import MB, consumer_lag
 from ..operators.decode import LIVE_OPS, render_summary
 from ..operators.order_stats import lower_middle, order_statistics, percentile_rank, upper_middle
 from ..operators.state import latest_per_key, settling
-from ..sources.tables import upsert_batch
+from ..sources.tables import delivered, upsert_batch
 
 
 def consume_once(stream: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet") -> None:
@@ -164,9 +164,8 @@ def materialize_stream(
 def live_rows(
     spark: SparkSession, target: str, pk: Sequence[str], order: Sequence[str], op: str = "op"
 ) -> DataFrame:
-    """Current rows of a target written by :func:`materialize_stream`."""
-    events = spark.read.parquet(target).drop("batch_id")
-    return latest_per_key(events, pk, order).where(F.col(op).isin(*LIVE_OPS))
+    """Current rows of a target written by :func:`materialize_stream`: its base, if it was compacted, and later batches."""
+    return latest_per_key(delivered(spark, target), pk, order).where(F.col(op).isin(*LIVE_OPS))
 
 
 def dedupe_stream(
