@@ -8,6 +8,7 @@ from ..operators import filters as X
 from ..operators import joins as J
 from ..operators import state as S
 from ..plans import incremental as I
+from ..plans import signals as G
 from ..plans import snapshot as P
 from .registry import (
     AS_OF,
@@ -321,3 +322,79 @@ WHERE reason IS NULL AND type = 'execute-snapshot'""")
 def snapshot_schedule(spark, sf):
     signals = I.parse_signals(_signal_log(spark, sf), "aw")
     return I.snapshot_schedule(signals).select("offset", "pos", "collection", "condition", "run_no")
+
+
+_SIGNAL_GAP, _SIGNAL_LENGTH = 3_000, 200
+
+
+def _nation_signals(spark, sf):
+    """Nations read as signals for two tables: most start a snapshot, every fifth stops one, some have another key."""
+    number = F.col("n_nationkey") % 3
+    collections = F.when(number == 0, F.array(F.lit("shop.orders"))).when(number == 1, F.array(F.lit("shop.customer "))).otherwise(
+        F.array(F.lit("shop.orders"), F.lit(" shop.customer"), F.lit("shop.other"))
+    )
+    data = F.struct(
+        collections.alias("data-collections"), F.lit("incremental").alias("type"),
+        F.when(number == 0, "o_totalprice > 100000").when(number == 1, "c_acctbal > 0").alias("additional-condition"),
+    )
+    kind = F.when(F.col("n_nationkey") % 5 == 4, "stop-snapshot").otherwise("execute-snapshot")
+    return table(spark, sf, "nation").select(
+        (F.col("n_nationkey") * _SIGNAL_GAP).cast("long").alias("offset"),
+        F.when(F.col("n_nationkey") % 7 == 6, "other").otherwise("shop").alias("key"),
+        F.to_json(F.struct(F.col("n_name").alias("id"), kind.alias("type"), data.alias("data"))).alias("value"),
+    )
+
+
+@query(f"""WITH RECURSIVE {LIVE_SQL},
+named AS (SELECT * FROM (VALUES (0, 'shop.orders', 0), (1, 'shop.customer', 0), (2, 'shop.orders', 0), (2, 'shop.customer', 1)) t(part, tab, place)),
+sig AS (
+  SELECT n_nationkey * {_SIGNAL_GAP} AS pos, n_nationkey % 5 = 4 AS stops, tab, place, n_nationkey % 3 AS part
+  FROM nation JOIN named ON part = n_nationkey % 3 WHERE n_nationkey % 7 <> 6),
+planned AS (
+  SELECT 'shop.orders' AS tab, (max(o_orderkey) - min(o_orderkey)) // {CHUNK} + 1 AS n FROM orders
+  UNION ALL SELECT 'shop.customer', (max(c_custkey) - min(c_custkey)) // {CHUNK} + 1 FROM customer),
+asked AS (
+  SELECT row_number() OVER (ORDER BY s.pos, place) AS run_no, s.pos, s.tab, part, n,
+    (SELECT min(x.pos) FROM sig x WHERE x.stops AND x.tab = s.tab AND x.pos > s.pos) AS stop
+  FROM sig s JOIN planned p ON p.tab = s.tab WHERE NOT s.stops),
+runs AS (
+  SELECT CAST(0 AS BIGINT) AS run_no, CAST('' AS VARCHAR) AS tab, CAST(0 AS BIGINT) AS part, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS k
+  UNION ALL
+  SELECT a.run_no, a.tab, CAST(a.part AS BIGINT), CAST(greatest(r.start + r.k * {_SIGNAL_LENGTH}, a.pos) AS BIGINT),
+    CAST(CASE WHEN a.stop IS NULL THEN a.n WHEN a.stop < greatest(r.start + r.k * {_SIGNAL_LENGTH}, a.pos) THEN 0
+      ELSE least(a.n, (a.stop - greatest(r.start + r.k * {_SIGNAL_LENGTH}, a.pos)) // {_SIGNAL_LENGTH} + 1) END AS BIGINT)
+  FROM runs r JOIN asked a ON a.run_no = r.run_no + 1),
+source AS (
+  SELECT 'shop.orders' AS tab, o_orderkey AS k, (o_orderkey - (SELECT min(o_orderkey) FROM orders)) // {CHUNK} AS chunk_id, o_totalprice > 100000 AS held FROM orders
+  UNION ALL
+  SELECT 'shop.customer', c_custkey, (c_custkey - (SELECT min(c_custkey) FROM customer)) // {CHUNK}, c_acctbal > 0 FROM customer),
+events AS (
+  SELECT 'shop.orders' AS tab, o_orderkey AS k, lsn AS pos FROM live
+  UNION ALL SELECT 'shop.customer', o_custkey, o_orderkey FROM orders),
+reads AS (
+  SELECT s.tab, s.k AS id, r.run_no, s.chunk_id, r.start + s.chunk_id * {_SIGNAL_LENGTH} AS opened
+  FROM source s JOIN runs r ON r.tab = s.tab AND s.chunk_id < r.k AND (r.part = 2 OR s.held)
+  WHERE (r.run_no + s.chunk_id) % 7 <> 0)
+SELECT tab AS "table", CAST(id AS BIGINT) AS id, run_no, CAST(chunk_id AS BIGINT) AS chunk_id, CAST(opened + {_SIGNAL_LENGTH - 1} AS BIGINT) AS lsn
+FROM reads d ANTI JOIN events e ON e.tab = d.tab AND e.k = d.id AND e.pos BETWEEN d.opened AND d.opened + {_SIGNAL_LENGTH - 1}""")
+def signal_backfill(spark, sf):
+    """Orders and customers backfilled as signals ask for, with conditions, stops and chunks finished before a restart."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    changed = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("lsn"))
+    sources = {
+        "shop.orders": G.Source(orders, ["o_orderkey"], live_changes(spark, sf)),
+        "shop.customer": G.Source(customers, ["c_custkey"], changed),
+    }
+    signals = I.parse_signals(_nation_signals(spark, sf), "shop")
+    done = None
+    for name, source in sources.items():
+        chunks = I.plan_chunks(source.rows, source.pk[0], CHUNK).select(F.lit(name).alias("collection"), "chunk_id")
+        every = chunks.withColumn("run_no", F.explode(F.sequence(F.lit(1), F.lit(50)).cast("array<bigint>")))
+        part = every.where((F.col("run_no") + F.col("chunk_id")) % 7 == 0)
+        done = part if done is None else done.unionByName(part)
+    found = None
+    for name, reads in G.signal_backfill(sources, signals, CHUNK, _SIGNAL_LENGTH, done=done).items():
+        part = reads.select(F.lit(name).alias("table"), F.col(sources[name].pk[0]).cast("long").alias("id"), "run_no", "chunk_id", "lsn")
+        found = part if found is None else found.unionByName(part)
+    return found
