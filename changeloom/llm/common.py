@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,42 @@ def slices(found: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.Rec
             yield batch.slice(at, rows)
 
 
+class _Tables:
+    """Paths of tables written inside one ``temporary`` block."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def kept(self, df: DataFrame, label: str) -> DataFrame:
+        """Write the table that outlives the block."""
+        found = stored(df, label)
+        self.paths.pop()
+        return found
+
+
+_open_scopes: list[_Tables] = []
+
+
+@contextmanager
+def temporary() -> Iterator[_Tables]:
+    """Tables that are stored inside the block are removed at its end, but for those that ``kept`` writes.
+
+    Where the shared folder is in a store that the driver's Python cannot reach, they stay until that folder is cleared.
+    """
+    tables = _Tables()
+    _open_scopes.append(tables)
+    try:
+        yield tables
+    finally:
+        _open_scopes.remove(tables)
+        for path in tables.paths:
+            try:
+                store, folder = fs.FileSystem.from_uri(path)
+                store.delete_dir(folder)
+            except (OSError, pa.ArrowInvalid):
+                pass
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -49,5 +87,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     work before it, and rows that depend on the order of a shuffle are fixed.
     """
     path = scratch_path(df.sparkSession, f"llm-{label}")
+    if _open_scopes:
+        _open_scopes[-1].paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

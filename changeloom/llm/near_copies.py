@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import hot_key_join
-from .common import slices, stored, words_of
+from .common import slices, stored, temporary, words_of
 from .graph import components, united
 from .simhash import SEED, code_links, fingerprints
 
@@ -30,6 +30,8 @@ SMALL = 4
 PIVOT_ROUNDS = 2
 # Tasks over which the pairs of a text, or of a bucket, that is frequent are spread; what they meet is copied so often.
 SPREAD = 32
+# Identifiers that are broadcast to pick out texts: at most so many numbers, some megabytes.
+HELD_IDS = 1 << 18
 # Differing bits up to which the Gray-order index takes fingerprints together.
 CLOSE_BITS = 4
 
@@ -121,11 +123,16 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(batches, "id bigint, shingles array<bigint>")
 
 
+def _some(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of distinct ``ids``: up to HELD_IDS of them are broadcast, for more the texts are shuffled."""
+    return texts.join(F.broadcast(ids) if ids.count() <= HELD_IDS else ids.hint("merge"), "id", "left_semi")
+
+
 def similar(texts: DataFrame, pairs: DataFrame, shingle: int, share: tuple[int, int]) -> DataFrame:
     """Those pairs ``u, v`` whose shingle sets have a Jaccard similarity of ``share`` (a fraction) or more."""
     part, whole = share
-    ids = pairs.select(F.col("u").alias("id")).distinct().union(pairs.select("v").distinct()).distinct()
-    sets = stored(_sets(texts.join(ids.hint("merge"), "id", "left_semi"), shingle), "near-sets")
+    ids = stored(pairs.select(F.col("u").alias("id")).distinct().union(pairs.select("v").distinct()).distinct(), "near-ids")
+    sets = stored(_sets(_some(texts, ids), shingle), "near-sets")
     # Sets are far larger in memory than as files, so they are never broadcast.
     met = hot_key_join(pairs, sets.toDF("u", "left").hint("merge"), ["u"], "inner", SPREAD)
     met = hot_key_join(met, sets.toDF("v", "right").hint("merge"), ["v"], "inner", SPREAD)
@@ -217,7 +224,7 @@ class _Search:
 
     def all_pairs(self, large: DataFrame) -> None:
         """Compare all texts of a bucket that are in different groups and whose sketches are not too far apart."""
-        some = self.texts.join(large.select("id").distinct().hint("merge"), "id", "left_semi")
+        some = _some(self.texts, stored(large.select("id").distinct(), "near-ids"))
         sketches = stored(_sketches(some, self.shingle), "near-sketches")
         large = hot_key_join(large, sketches.hint("merge"), ["id"], "inner")
         words = [F.col("sketch")[i].alias(f"word{i}") for i in range(SKETCH_WORDS)]
@@ -239,15 +246,20 @@ def near_groups(texts: DataFrame, shingle: int = 5, share: tuple[int, int] = (4,
     it, which joins a family of copies in linear time.  Texts of large buckets that are still in several groups go to deeper bands among
     themselves; what those leave is compared pair by pair, first by sketches of 1,024 bits.  No bucket is cut and no pair capped.
     """
-    texts = texts.select("id", "text")
-    search, left = _Search(texts, shingle, share), None
+    search = _Search(texts.select("id", "text"), shingle, share)
+    with temporary() as tables:
+        _run(search)
+        return tables.kept(search.groups, "near-groups")
+
+
+def _run(search: _Search) -> None:
+    texts, shingle, left = search.texts, search.shingle, None
     for bands, depth in LEVELS:
         if left is None:
             left = search.buckets(texts, bands, depth, close_copies(texts, shingle, CLOSE_BITS))
         else:
-            some = texts.join(left.select("id").distinct().hint("merge"), "id", "left_semi")
+            some = _some(texts, stored(left.select("id").distinct(), "near-ids"))
             left = search.buckets(some, bands, depth)
         if left is None:
-            return search.groups
+            return
     search.all_pairs(left)
-    return search.groups
