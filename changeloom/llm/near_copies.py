@@ -38,7 +38,8 @@ CLOSE_BITS = 4
 # Sketches of sets of similarity 0.8 differ in more than so many of their 1,024 bits with probability below 0.00001 (a tenth do, 4.5 deviations).
 SKETCH_WORDS = 16
 SKETCH_BITS = 145
-HASHES_AT_ONCE = 1 << 16
+HASHES_AT_ONCE = 1 << 13
+TEXTS_AT_ONCE = 256
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -90,7 +91,7 @@ def _sketches(texts: DataFrame, shingle: int) -> DataFrame:
     """``id, sketch`` of rows ``id, text``."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(found):
+        for batch in slices(found, TEXTS_AT_ONCE):
             made = [sketch(shingle_set(t.as_py(), shingle)).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.list_(pa.int64()))], ["id", "sketch"])
 
@@ -101,7 +102,7 @@ def _buckets(texts: DataFrame, shingle: int, bands: int, depth: int) -> DataFram
     """``id, size, key`` per text and band, of rows ``id, text``."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(found):
+        for batch in slices(found, TEXTS_AT_ONCE):
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column(1)]
             keys = np.concatenate([band_keys(s, bands, depth) for s in sets]) if sets else np.empty(0, np.uint64)
             ids = np.repeat(batch.column(0).to_numpy(), bands)
@@ -115,7 +116,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     """``id, shingles`` of rows ``id, text``."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(found):
+        for batch in slices(found, TEXTS_AT_ONCE):
             sets = [pa.array(shingle_set(t.as_py(), shingle).view(np.int64)) for t in batch.column(1)]
             column = pa.array([s.to_numpy() for s in sets], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), column], ["id", "shingles"])
