@@ -239,6 +239,7 @@ def written_and_read(docs: DataFrame, tokenizer_path: str, path: str, end_id: in
     See ``write_sequences`` for nulls, ties, repeated rows and empty tables.
     """
     index = write_sequences(docs, tokenizer_path, path, end_id, id_col, text_col)
-    found = read_sequences(index, path).join(part_starts(index), "part")
+    # One row per part, of which there are no more than shuffle partitions: ids need no exchange to meet them.
+    found = read_sequences(index, path).join(F.broadcast(part_starts(index)), "part")
     kind = docs.schema[id_col].dataType
     return found.select(F.col("id").cast(kind).alias(id_col), (F.col("first") + F.col("before")).alias("start"), "ids")
