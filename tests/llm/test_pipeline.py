@@ -11,7 +11,7 @@ from .conftest import SCHEMA, prose
 
 
 def test_registry():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
     assert [k for k, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_neardup", "suffix_dedup", "packing"]
 
