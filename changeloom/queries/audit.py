@@ -119,6 +119,19 @@ def row_difference(spark, sf):
     return U.row_difference(left.drop("c_acctbal"), right.drop("c_acctbal"))
 
 
+@query("""WITH r AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 997 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+  FROM orders WHERE o_orderkey % 1009 <> 7),
+l AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders)
+SELECT o_orderkey, o_custkey, o_totalprice, CAST(sum(side) AS BIGINT) AS surplus FROM (
+  SELECT *, 1 AS side FROM l UNION ALL SELECT *, -1 FROM r) GROUP BY 1, 2, 3 HAVING sum(side) <> 0""")
+def digest_difference(spark, sf):
+    """Orders against a copy in which some prices are changed and some rows are missing."""
+    left = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    price = F.when(F.pmod("o_orderkey", F.lit(997)) == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    right = left.where(F.pmod("o_orderkey", F.lit(1009)) != 7).withColumn("o_totalprice", price)
+    return U.digest_difference(left, right, ["o_orderkey"])
+
+
 def _versioned(spark, sf):
     """Events as JSON documents whose shape depends on the schema version."""
     old = F.struct("event_id", "user_id", F.col("value").alias("amount"), "props")

@@ -157,6 +157,62 @@ def stream_idle_sessions(spark, sf):
     )
 
 
+def _dealt(spark, events, root, parts):
+    """The rows as a stream of one file per part, one file a batch; parts are not in order of time."""
+    part = F.pmod(F.xxhash64("event_id"), F.lit(parts))
+    events.repartition(parts, part).write.parquet(f"{root}/in")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/in")
+
+
+@query("""WITH marked AS (
+  SELECT event_type AS topic, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 90 MINUTE THEN 0 ELSE 1 END AS begins
+  FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
+numbered AS (SELECT *, sum(begins) OVER (PARTITION BY topic ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM marked),
+sessions AS (SELECT topic, s, min(ts) AS a, max(ts) AS b, count(*) AS messages FROM numbered GROUP BY 1, 2)
+SELECT topic, CAST(epoch_us(a) AS BIGINT) AS session_start, messages, CAST(epoch_us(b) AS BIGINT) AS last_message,
+  b + INTERVAL 90 MINUTE < (SELECT max(ts) FROM events) AS ended FROM sessions""")
+def stream_sessions(spark, sf):
+    """All sessions, the last ones too, of events that come in several batches without any order."""
+    root, idle = scratch_path(spark, "all-sessions"), 90 * 60
+    events = table(spark, sf, "events").select("event_id", F.col("event_type").alias("topic"), F.col("ts").cast("timestamp").alias("ts"))
+    stream = _dealt(spark, events, root, 3)
+    K.session_stream(stream, f"{root}/slots", idle, ["topic"], f"{root}/checkpoint", "ts").awaitTermination()
+    newest = events.select(F.max("ts")).scalar()
+    found = K.stored_sessions(spark, f"{root}/slots", idle, ["topic"], newest)
+    return found.select(
+        "topic", F.unix_micros("session_start").alias("session_start"), "messages", F.unix_micros("last_message").alias("last_message"), "ended"
+    )
+
+
+@query("""WITH ranked AS (
+  SELECT event_type AS topic, epoch_us(ts) // 21600000000 * 21600 AS bucket, strlen(props) AS size, value,
+         count(*) OVER w AS n, row_number() OVER (w ORDER BY value) - 1 AS i
+  FROM events WINDOW w AS (PARTITION BY event_type, epoch_us(ts) // 21600000000))
+SELECT topic, bucket, count(*) AS messages, CAST(sum(size) AS BIGINT) AS bytes, round(count(*) / 21600::DOUBLE, 6) AS msg_s,
+  round(sum(size) / count(*)::DOUBLE, 6) AS avg_bytes, round(median(value), 6) AS p50,
+  round(max(CASE WHEN i = n * 99 // 100 THEN value END), 6) AS p99
+FROM ranked GROUP BY 1, 2""")
+def stream_settled_windows(spark, sf):
+    """Exact windows of events that come in several batches, each batch computing only the windows it has rows of."""
+    root = scratch_path(spark, "settled-windows")
+    events = table(spark, sf, "events").select(
+        "event_id",
+        F.col("event_type").alias("topic"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.octet_length("props").cast("long").alias("message_bytes"),
+        F.col("value").alias("latency_ms"),
+    )
+    rows = K.window_rows(_dealt(spark, events, root, 3), "6 hours", ["topic"])
+    K.window_stream(rows, f"{root}/rows", f"{root}/table", 6 * 3600, f"{root}/checkpoint", ["topic"]).awaitTermination()
+    return K.settled_windows(spark, f"{root}/table", ["topic"]).select(
+        "topic",
+        F.unix_timestamp("window_start").alias("bucket"),
+        "messages",
+        "bytes",
+        *rounded("msg_s", "avg_bytes", "p50", "p99"),
+    )
+
+
 @query("""WITH split AS (SELECT *, event_id * 2 >= (SELECT max(event_id) FROM events) AS early FROM events)
 SELECT count(*) AS late FROM split WHERE NOT early
   AND date_trunc('millisecond', ts) < date_trunc('millisecond', (SELECT max(ts) FROM split WHERE early)) - INTERVAL 1 HOUR""")

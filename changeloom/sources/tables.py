@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
 from pyspark.errors import AnalysisException
@@ -71,9 +71,14 @@ def upsert_batch(
     operation, events that say nothing about a row are left out first, as in a batch.
     """
     rows = settling(batch) if "op" in batch.columns else batch
+    deliver(latest_per_key(rows, pk, order), batch_id, target)
+
+
+def deliver(rows: DataFrame, batch_id: int, target: str, partition_by: Sequence[str] = ()) -> None:
+    """Add the rows of one batch to a target; :func:`delivered` reads them once all are written."""
     folder = f"{target.rstrip('/')}/batch_id={batch_id}/attempt={uuid.uuid4().hex}"
-    latest_per_key(rows, pk, order).write.parquet(folder)
-    _finish(batch.sparkSession, target, "batch", batch_id, folder)
+    rows.write.partitionBy(*partition_by).parquet(folder)
+    _finish(rows.sparkSession, target, "batch", batch_id, folder)
 
 
 def sink_upsert(change: DataFrame, target: str, pk: Sequence[str], order: Sequence[str], checkpoint: str):
@@ -101,12 +106,16 @@ def read_upserted(
     return latest.where(F.col(deleted) == "false").drop(deleted) if deleted in rows.columns else latest
 
 
-def delivered(spark: SparkSession, target: str) -> DataFrame:
+def delivered(spark: SparkSession, target: str, partitioned: bool = False) -> DataFrame:
     """Rows of the newest base, if there is one, and of the finished batches after it.
 
     The parts are fixed when this is called: what is written or compacted later does not change the result.
+    ``partitioned`` is for batches delivered with ``partition_by``: a filter on those columns then picks folders.
     """
     _, base, batches = _parts(spark, target)
+    if partitioned and base is None:
+        # The numbers of batch and attempt are part of the path, too.
+        return spark.read.option("basePath", target).parquet(*batches.values()).drop("batch_id", "attempt")
     return _rows(spark, base, batches)
 
 
@@ -161,11 +170,16 @@ def compact_target(spark: SparkSession, target: str, pk: Sequence[str], order: S
     Readers go over to the base in one step, when its entry is written.  Folders of merged batches and older bases may be removed
     once nobody reads them any more.
     """
+    return compact_parts(spark, target, lambda rows: latest_per_key(rows, pk, order))
+
+
+def compact_parts(spark: SparkSession, target: str, merge: Callable[[DataFrame], DataFrame]) -> int | None:
+    """:func:`compact_target` for rows of any kind: ``merge`` gives the rows that stand for those of all parts."""
     upto, base, batches = _parts(spark, target)
     if not batches:
         return upto
     last = max(batches)
     folder = f"{base_folder(target)}/upto={last}"
-    latest_per_key(_rows(spark, base, batches), pk, order).write.mode("overwrite").parquet(folder)
+    merge(_rows(spark, base, batches)).write.mode("overwrite").parquet(folder)
     _finish(spark, target, "base", last, folder)
     return int(last)
