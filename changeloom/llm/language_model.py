@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, words_of
+from .common import slices, stored, words_of
 
 # Sizes of the model: words it tells apart, classes, state.  All further words share one output; which of them it is follows
 # their counts.
@@ -162,20 +162,23 @@ def in_lanes(texts: list[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarray,
     sizes = np.array([sum(len(texts[i]) for i in r) for r in rows], np.int64)
     if not len(sizes):
         return
-    targets = np.zeros((sizes[0], len(rows)), np.int32)
-    number = np.full((sizes[0], len(rows)), -1, np.int32)
-    begins = np.zeros((sizes[0], len(rows)), bool)
-    for k, row in enumerate(rows):
-        at = 0
-        for i in row:
-            targets[at : at + len(texts[i]), k], number[at : at + len(texts[i]), k], begins[at, k] = texts[i], i, True
-            at += len(texts[i])
+    # All lanes in one array, one after the other: memory follows the tokens, not the longest lane.
+    laid = np.array([i for r in rows for i in r], np.int32)
+    lengths = np.array([len(texts[i]) for i in laid], np.int64)
+    flat = np.concatenate([texts[i] for i in laid]).astype(np.int32)
+    owner = np.repeat(laid, lengths)
+    starting = np.zeros(len(flat), bool)
+    starting[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
     # A text begins after the end of another: the input there is word 0.
-    inputs = np.concatenate((np.zeros((1, len(rows)), np.int32), targets[:-1]))
-    inputs[begins] = 0
+    before = np.concatenate((np.zeros(1, np.int32), flat[:-1]))
+    before[starting] = 0
+    first = np.cumsum(sizes) - sizes
     for at in range(0, int(sizes[0]), WINDOW):
         live = int((sizes > at).sum())
-        yield tuple(x[at : at + WINDOW, :live] for x in (inputs, targets, begins, number))
+        step = np.arange(at, min(at + WINDOW, int(sizes[0])))[:, None]
+        inside = step < sizes[:live]
+        place = np.where(inside, first[:live] + step, 0)
+        yield before[place] * inside, flat[place] * inside, starting[place] & inside, np.where(inside, owner[place], -1)
 
 
 def train_on(network: Network, texts: list[np.ndarray], memory: dict) -> int:
@@ -296,28 +299,76 @@ def _averaged(parts: DataFrame) -> tuple[np.ndarray | None, float]:
     return np.concatenate([np.frombuffer(x, np.float64) for x in whole["values"]]) / whole["weight"][0], float(whole["weight"][0])
 
 
-def train(docs: DataFrame) -> tuple[Vocabulary, Network, DataFrame]:
-    """Vocabulary, network and table of all word counts from the rows of ``id, text``."""
-    spark = docs.sparkSession
+def vocabulary_of(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """Vocabulary and table of all word counts from the rows of ``text``."""
     counts = stored(word_counts(docs), "word-counts")
     texts = docs.count()
     words, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     # A table of at most HEAD words reaches the driver, whatever the input.
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD).toArrow()
-    vocabulary = Vocabulary(
+    found = Vocabulary(
         head.column("word").to_pylist(), head.column("n").to_numpy().astype(np.float64), words + texts, distinct + (texts > 0), texts
     )
+    return found, counts
+
+
+def encoded(rows: DataFrame, known) -> DataFrame:
+    """Texts of ``id, hash, learn, turn, text`` as model words, so that training and scoring read numbers only.
+
+    ``tokens`` holds two bytes a token.  Beside it are sums over the words whose counts the tasks know, and the other words of the
+    text with how often they occur in it.  ``known`` is the broadcast vocabulary.
+    """
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", "hash", "learn", "turn")}
+    shape = ", ".join(f"{name} {kind}" for name, kind in kinds.items())
+    shape += ", n_tokens bigint, n_head bigint, head_logs double, other_logs double, n_other bigint, tokens binary"
+    shape += ", words array<binary>, times array<bigint>"
+    names = [*kinds, "n_tokens", "n_head", "head_logs", "other_logs", "n_other", "tokens", "words", "times"]
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = known.value
+        for part in slices(found):
+            facts, tokens, rare, times, ends = [], [], [], [], [0]
+            for text in part.column("text"):
+                words = words_of(text.as_py())
+                places = vocabulary.places(words)
+                inside = places[places >= 0]
+                other = inside[inside >= WORDS - 1]
+                facts.append((len(places) + 1, len(inside), vocabulary.logs[inside].sum(), vocabulary.logs[other].sum(), len(other)))
+                tokens.append(vocabulary.tokens_of(places).astype(np.uint16).tobytes())
+                if len(inside) < len(places):
+                    held = Counter([words[j] for j in np.flatnonzero(places < 0).tolist()])
+                    rare += held.keys()
+                    times += held.values()
+                ends.append(len(rare))
+            if not facts:
+                continue
+            at = pa.array(ends, pa.int32())
+            kinds_of = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+            made = [pa.array(x, kind) for x, kind in zip(zip(*facts), kinds_of)]
+            made.append(pa.array(tokens, pa.binary()))
+            made += [pa.ListArray.from_arrays(at, pa.array(rare, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kinds), *made], names)
+
+    return rows.select(*kinds, "text").mapInArrow(batches, shape)
+
+
+def tokens_in(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """Model words of the texts of column ``tokens``."""
+    return [np.frombuffer(t.as_py(), np.uint16) for t in batch.column("tokens")]
+
+
+def train(texts: DataFrame, vocabulary: Vocabulary) -> Network:
+    """The network after one pass over the encoded texts, a third of them a round."""
+    context = texts.sparkSession.sparkContext
     network = Network.initial(vocabulary.model_counts, vocabulary.other_tokens)
-    known = spark.sparkContext.broadcast(vocabulary)
-    for number in range(ROUNDS if texts else 0):
-        shared = spark.sparkContext.broadcast(network.flat)
+    for number in range(ROUNDS if vocabulary.texts else 0):
+        shared = context.broadcast(network.flat)
 
-        def batches(found: Iterator[pa.RecordBatch], known=known, shared=shared) -> Iterator[pa.RecordBatch]:
-            own, vocabulary, seen = Network(shared.value.copy()), known.value, 0
+        def batches(found: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            own, seen = Network(shared.value.copy()), 0
             memory = {"step": 0} | {name: np.zeros_like(own.flat) for name in ("first", "second", "change")}
             for batch in found:
-                read = [vocabulary.tokens_of(vocabulary.places(words_of(t.as_py()))) for t in batch.column(0)]
-                seen += train_on(own, read, memory)
+                seen += train_on(own, tokens_in(batch), memory)
             if seen:
                 slot = TaskContext.get().partitionId() % SLOTS
                 for at in range(0, len(own.flat), CHUNK):
@@ -326,11 +377,11 @@ def train(docs: DataFrame) -> tuple[Vocabulary, Network, DataFrame]:
                     schema = pa.schema([("slot", pa.int32()), ("chunk", pa.int32()), ("weight", pa.float64()), ("values", pa.binary())])
                     yield pa.RecordBatch.from_pydict(row, schema)
 
-        turn = docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(ROUNDS)) == number).select("text")
+        turn = texts.where(F.col("turn") == number).select("tokens")
         flat, seen = _averaged(turn.mapInArrow(batches, "slot int, chunk int, weight double, values binary"))
         if seen:
             network = Network(flat.astype(np.float32))
-    return vocabulary, network, counts
+    return network
 
 
 def scores(docs: DataFrame, for_training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,50 +391,37 @@ def scores(docs: DataFrame, for_training: Column, id_col: str = "doc_id", text_c
     text; ``base_score`` is that of the smoothed unigram model.  A null or empty text is just an end.  Repeated rows give repeated
     rows, null identifiers stay null, an empty table gives no rows, other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    vocabulary, network, counts = train(docs.where(for_training).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
+    vocabulary, counts = vocabulary_of(docs.where(for_training).select(F.col(text_col).alias("text")))
     context = docs.sparkSession.sparkContext
-    known, shared = context.broadcast(vocabulary), context.broadcast(network.flat)
-    kind = rows.schema["id"].dataType.simpleString()
-    keyed = rows.select("id", F.xxhash64("text").alias("hash"), "text")
+    known = context.broadcast(vocabulary)
+    turn = F.pmod(F.xxhash64(id_col, text_col), F.lit(ROUNDS)).cast("int")
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("hash"),
+        F.coalesce(for_training, F.lit(False)).alias("learn"),
+        turn.alias("turn"),
+        F.col(text_col).alias("text"),
+    )
+    # Texts are split into words once to be counted and once here.
+    texts = stored(encoded(rows, known), "encoded-texts")
+    network = train(texts.where("learn"), vocabulary)
+    shared = context.broadcast(network.flat)
+    facts = ["id", "hash", "n_tokens", "n_head", "head_logs", "other_logs", "n_other"]
 
     def score(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, network = known.value, Network(shared.value.copy())
+        network = Network(shared.value.copy())
         for batch in found:
-            texts, columns = [], []
-            for text in batch.column(2):
-                places = vocabulary.places(words_of(text.as_py()))
-                inside = places[places >= 0]
-                other = inside[inside >= WORDS - 1]
-                columns.append((len(places) + 1, len(inside), vocabulary.logs[inside].sum(), vocabulary.logs[other].sum(), len(other)))
-                texts.append(vocabulary.tokens_of(places))
-            logs = score_texts(network, texts) / np.log(10)
-            made = [pa.array(x) for x in zip(*columns)] if columns else [pa.array([])] * 5
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *made, pa.array(logs)], ["id", "hash", "n_tokens", "n_head", "head_logs", "other_logs", "n_other", "model"])
+            logs = score_texts(network, tokens_in(batch)) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in facts), pa.array(logs, pa.float64())], [*facts, "model"])
 
-    def rare(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = known.value
-        for batch in found:
-            for at in range(0, batch.num_rows, 512):
-                part, row, word, n = batch.slice(at, 512), [], [], []
-                for i, text in enumerate(part.column(2)):
-                    words = words_of(text.as_py())
-                    places = vocabulary.places(words)
-                    held = Counter([words[j] for j in np.flatnonzero(places < 0).tolist()])
-                    row += [i] * len(held)
-                    word += held.keys()
-                    n += held.values()
-                at_row = pa.array(row, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(at_row), part.column(1).take(at_row), pa.array(word, pa.binary()), pa.array(n, pa.int64())], ["id", "hash", "word", "times"]
-                )
-
-    scored = keyed.mapInArrow(
+    kind = rows.schema["id"].dataType.simpleString()
+    scored = texts.select(*facts, "tokens").mapInArrow(
         score,
         f"id {kind}, hash bigint, n_tokens bigint, n_head bigint, head_logs double, other_logs double, n_other bigint, model double",
     )
     # Counts of the words that the tasks do not know: a join on the word, then sums per text.
-    tails = keyed.mapInArrow(rare, f"id {kind}, hash bigint, word binary, times bigint").join(counts, "word", "left")
+    rare = texts.where(F.size("words") > 0).select("id", "hash", F.explode(F.arrays_zip("words", "times")).alias("w"))
+    tails = rare.select("id", "hash", F.col("w.words").alias("word"), F.col("w.times").alias("times")).join(counts, "word", "left")
     count = F.coalesce("n", F.lit(0))
     tails = tails.groupBy("id", "hash").agg(
         F.sum("times").alias("tail_tokens"),

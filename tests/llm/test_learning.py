@@ -266,3 +266,23 @@ def test_outliers(spark, messy, messy_rows, no_rows):
     edges = quality.outlier_verdicts(messy)
     assert edges.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", "kept"]
     assert Counter(r["doc_id"] for r in edges.collect()) == Counter(r[0] for r in messy_rows)
+
+
+def test_windows_take_memory_by_tokens_not_by_the_longest_text():
+    """One very long text beside many short ones: windows hold every token once, in order, in little memory."""
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    texts = [rng.integers(1, 2000, n).astype(np.uint16) for n in (400_000, *[5] * 511, 0, 1)]
+    tracemalloc.start()
+    read = [[] for _ in texts]
+    for inputs, targets, begins, number in language_model.in_lanes(texts, language_model.SCORE_LANES):
+        assert inputs.shape == targets.shape == begins.shape == number.shape and len(inputs) <= language_model.WINDOW
+        for i in np.unique(number[number >= 0]):
+            read[i].append(targets[number == i])
+        assert (inputs[begins] == 0).all() and (targets[number < 0] == 0).all()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(np.array_equal(np.concatenate([*r, []]), t) for r, t in zip(read, texts))
+    # Dense steps x lanes would take 400,000 x 512 x 9 bytes.
+    assert peak < 100 * 400_000
