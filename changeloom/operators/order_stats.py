@@ -6,11 +6,17 @@ again.  Counting is a partial aggregation, so one group may hold any number of r
 A slice is tightened to the smallest and largest value seen in it.  The last step
 ranks the distinct values left.  The answer is exact for any data; the levels only
 make the last step small.
+
+After the first count, rows outside the wanted slices are dropped where they are read:
+a table of fixed size holds, for each hash slot of the groups, the range that each rank
+still needs.  Only rows inside those ranges are shuffled to meet their group's slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -22,6 +28,8 @@ from .joins import salted_join
 LOG_SLICES = 1_024
 SLICES = 65_536
 TARGET_SALTS = 64
+# Groups share so many slots of the table that rows are checked with before they are shuffled.
+RANGE_SLOTS = 4_096
 
 
 def percentile_rank(percent: int):
@@ -57,6 +65,7 @@ def order_statistics(
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("__v"))
     targets = _first_level(rows, by, ranks)
+    rows = _near(rows, targets, by, ranks)
     for _ in range(levels - 1):
         targets = _narrow(rows, targets, by)
     final = _in_range(rows, targets, by).groupBy(*by, "__stat", "__v").agg(
@@ -113,6 +122,32 @@ def _holds(at):
     return (F.col("__upto") > F.col(at)) & (F.col("__upto") - F.col("__c") <= F.col(at))
 
 
+def _slot(by):
+    return F.pmod(F.xxhash64(*by), F.lit(RANGE_SLOTS)).cast("int")
+
+
+def _near(rows, targets, by, ranks):
+    """Rows inside a range of their slot, checked in the scan's stage.
+
+    A slot's range for a rank spans those of all its groups, so no wanted row is lost,
+    and the table has ``RANGE_SLOTS`` entries whatever the number of groups.
+    """
+    names = list(ranks)
+    ends = [
+        (F.min(F.when(F.col("__stat") == n, F.col("__lo"))), F.max(F.when(F.col("__stat") == n, F.col("__hi")))) for n in names
+    ]
+    # Every slot has an entry, so an entry's place in the sorted array is its slot.
+    every = rows.sparkSession.range(RANGE_SLOTS).select(F.col("id").cast("int").alias("__slot"))
+    held = targets.select(_slot(by).alias("__slot"), "__stat", "__lo", "__hi").unionByName(every, allowMissingColumns=True)
+    spans = held.groupBy("__slot").agg(
+        *[c.alias(f"{end}{i}") for i, pair in enumerate(ends) for end, c in zip(("lo", "hi"), pair)]
+    )
+    table = spans.agg(F.array_sort(F.collect_list(F.struct("__slot", *spans.columns[1:])))).scalar()
+    span = F.element_at(table, _slot(by) + 1)
+    inside = [F.col("__v").between(span.getField(f"lo{i}"), span.getField(f"hi{i}")) for i in range(len(names))]
+    return rows.where(reduce(or_, inside))
+
+
 def _in_range(rows, targets, by):
     joined = salted_join(rows, targets, by, "inner", TARGET_SALTS)
     return joined.where(F.col("__v").between(F.col("__lo"), F.col("__hi")))

@@ -61,3 +61,22 @@ def test_approx_is_close(spark):
     df = spark.range(1, 10_001).select(F.lit("g").alias("g"), F.col("id").alias("v"))
     row = O.approx_percentile(df, ["g"], "v", {"p50": 50}).first()
     assert abs(row.p50 - 5_000) <= 2
+
+
+def test_more_groups_than_slots(spark, monkeypatch):
+    """Groups that share a slot keep each its own answer."""
+    monkeypatch.setattr(O, "RANGE_SLOTS", 8)
+    df = spark.range(6_000).select((F.col("id") % 60).alias("g"), (F.col("id") * F.pmod("id", F.lit(7)) + F.col("id") % 60 * 1e4).alias("v"))
+    got = {r.g: (r.p50, r.p99) for r in O.exact_percentile(df, ["g"], "v", {"p50": 50, "p99": 99}).collect()}
+    for g in range(60):
+        ordered = sorted(i * (i % 7) + g * 1e4 for i in range(6_000) if i % 60 == g)
+        assert got[g] == (ordered[50], ordered[99])
+
+
+def test_rows_outside_the_slices_are_not_shuffled(spark):
+    """Of 200,000 rows in a few groups, the joins that look for the slices see a small part."""
+    df = spark.range(200_000).select((F.col("id") % 3).alias("g"), F.rand(5).alias("v"))
+    rows = df.select("g", F.col("v").alias("__v"))
+    ranks = {"p50": O.percentile_rank(50), "p99": O.percentile_rank(99)}
+    targets = O._first_level(rows, ["g"], ranks)
+    assert 0 < O._near(rows, targets, ["g"], ranks).count() < 2_000
