@@ -18,6 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import hot_key_join
 from .common import slices, text_of
 
 CHUNK = 1 << 15
@@ -143,7 +144,9 @@ def encode(
     coded = coded.repartition("key", "piece").mapInArrow(pieces, "key string, piece bigint, ids binary")
     in_order = F.array_sort(F.collect_list(F.struct("piece", F.hex("ids").alias("ids"))))
     joined = coded.groupBy("key").agg(F.unhex(F.array_join(F.transform(in_order, lambda p: p["ids"]), "")).alias("ids"))
-    return short.union(long.select("id", "key").join(joined, "key").select("id", "ids")).withColumnRenamed("id", id_col)
+    # One long text may belong to a large share of the rows.
+    met = hot_key_join(long.select("id", "key"), joined.hint("merge"), ["key"], "inner")
+    return short.union(met.select("id", "ids")).withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, ranks_path: str) -> DataFrame:

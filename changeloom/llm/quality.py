@@ -2,7 +2,7 @@
 
 Counts of each text become a vector of transformed statistics.  For each cell (language and source, or a pool of small
 ones) location and scatter come from the minimum-covariance-determinant method: concentration steps move to the rows with
-the smallest Mahalanobis distances until few change, from two starting points, and the smaller determinant wins.
+the smallest Mahalanobis distances, four times (``STEPS``), from two starting points, and the smaller determinant wins.
 All steps are built-in expressions.
 """
 
@@ -24,6 +24,8 @@ MOST_REPEATED_PERCENT = 30
 # Share of a cell's rows that the estimate rests on, and how many rows a cell needs.
 COVER = 0.75
 LEAST_ROWS = 64
+# The rows of a large cell are spread over so many tasks.
+CELL_SALTS = 256
 STEPS = 4
 # Distances are counted in so many steps per factor e; statistics in so many per unit.
 DISTANCE_STEPS = 32
@@ -194,7 +196,7 @@ def _distance() -> Column:
 
 def _concentrate(rows: DataFrame, guess: DataFrame) -> DataFrame:
     """One step: sums over the rows nearest to the guess, taken from counts and sums per narrow range of distances."""
-    met = rows.join(_whitened(guess), "cell")
+    met = hot_key_join(rows, _whitened(guess).hint("merge"), ["cell"], "inner", CELL_SALTS)
     met = met.withColumn("at", F.floor(F.log(_distance() + 1e-6) * DISTANCE_STEPS))
     ranges = _sums(met, ["cell", "start", "at"])
     w = Window.partitionBy("cell", "start")
@@ -226,7 +228,7 @@ def outlier_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     best = stored(best.drop("start", "logdet"), "quality-best")
 
     at = F.floor(F.log(_distance() + 1e-6) * DISTANCE_STEPS)
-    counts = rows.join(best, "cell").groupBy("cell", at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    counts = hot_key_join(rows, best.hint("merge"), ["cell"], "inner", CELL_SALTS).groupBy("cell", at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("cell")
     ranked = counts.withColumn("total", F.sum("n").over(w)).withColumn("upto", F.sum("n").over(w.orderBy("at")))
     median = ranked.groupBy("cell").agg(
@@ -234,7 +236,7 @@ def outlier_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.max("total").alias("cell_rows"),
     )
     final = stored(best.join(median, "cell"), "quality-limits")
-    judged = hot_key_join(passed, final, ["cell"], "inner").withColumn("distance", _distance())
+    judged = hot_key_join(passed, final, ["cell"], "inner", CELL_SALTS).withColumn("distance", _distance())
     limit = F.greatest(F.col("median") / CHI_MEDIAN, F.lit(1.0)) * CHI_CUTOFF
     judged = judged.withColumn("kept", (F.col("distance") <= limit) | (F.col("cell_rows") < LEAST_ROWS))
     columns = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
