@@ -40,6 +40,22 @@ def stream_materialize(spark, sf):
     return K.live_rows(spark, f"{root}/table", ["pk"], ["seq"])
 
 
+@query(f"""WITH {CHANGE_SQL}, last AS (
+SELECT pk, seq, op, value FROM change QUALIFY row_number() OVER (PARTITION BY pk ORDER BY seq DESC) = 1)
+SELECT * FROM last WHERE op <> 'd'""")
+def stream_latest_removed(spark, sf):
+    """Live rows kept by state from which deleted keys go, over several batches in any order."""
+    root = scratch_path(spark, "stream-latest")
+    change = table(spark, sf, "events").select(
+        F.col("user_id").alias("pk"), F.col("event_id").alias("seq"), op_of().alias("op"), "value", F.col("ts").cast("timestamp").alias("ts")
+    )
+    change.repartition(4, F.xxhash64("seq")).write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(change.schema).option("maxFilesPerTrigger", "2").parquet(f"{root}/log")
+    # The files are in no order of time, so nothing may be late.
+    K.latest_stream(stream, f"{root}/table", ["pk"], ["seq"], "ts", f"{root}/checkpoint", "36500 days").awaitTermination()
+    return K.live_rows(spark, f"{root}/table", ["pk"], ["seq"]).drop("ts")
+
+
 @query("""SELECT event_id, user_id, event_type FROM events""")
 def stream_dedupe(spark, sf):
     stream = event_stream(spark, sf).select("event_id", "user_id", "event_type", "ts")

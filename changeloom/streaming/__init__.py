@@ -16,6 +16,7 @@ from .jobs import (  # noqa: F401
     window_metrics,
     window_rows,
 )
+from .latest import held_keys, latest_stream, latest_updates  # noqa: F401
 from .sessions import compact_sessions, merge_slots, session_slots, session_stream, sessions_of, stored_sessions  # noqa: F401
 from .totals import StreamTotals  # noqa: F401
 from .windows import compact_windows, settle_windows, settled_windows, touched_rows, window_stream  # noqa: F401
