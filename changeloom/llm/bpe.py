@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import hot_key_join
-from .common import slices, text_of
+from .common import slices, stored, text_of
 
 CHUNK = 1 << 15
 OVERLAP = 1 << 11
+# Rows that share one copy of a long text's identifiers.
+ROWS_A_COPY = 1_024
 
 
 @lru_cache(maxsize=4)
@@ -144,8 +146,12 @@ def encode(
     coded = coded.repartition("key", "piece").mapInArrow(pieces, "key string, piece bigint, ids binary")
     in_order = F.array_sort(F.collect_list(F.struct("piece", F.hex("ids").alias("ids"))))
     joined = coded.groupBy("key").agg(F.unhex(F.array_join(F.transform(in_order, lambda p: p["ids"]), "")).alias("ids"))
-    # One long text may belong to a large share of the rows.
-    met = hot_key_join(long.select("id", "key"), joined.hint("merge"), ["key"], "inner")
+    # One long text may belong to a large share of the rows: its identifiers are copied once per ROWS_A_COPY of them.
+    owners = stored(long.select("id", "key", F.spark_partition_id().alias("part")), "bpe-long")
+    counts = owners.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / ROWS_A_COPY).alias("copies"))
+    dealt = hot_key_join(owners, counts.hint("merge"), ["key"], "inner").withColumn("copy", F.pmod(F.xxhash64("id", "part"), F.col("copies")))
+    copied = joined.join(counts.hint("merge"), "key").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)))
+    met = dealt.select("id", "key", "copy").join(copied.hint("merge"), ["key", "copy"])
     return short.union(met.select("id", "ids")).withColumnRenamed("id", id_col)
 
 

@@ -42,6 +42,16 @@ def test_bpe_edges(messy, messy_rows, no_rows):
         bpe.encode(no_rows, RANKS, public_tokenizers.PATTERN, chunk=5, overlap=5)
 
 
+def test_rows_that_share_one_long_text(spark, monkeypatch):
+    """A third of all rows hold one long text, with and without an identifier of their own."""
+    monkeypatch.setattr(bpe, "ROWS_A_COPY", 100)
+    shared, other = "one long text " * 20, "another long text " * 20
+    rows = [(i % 7 if i % 2 else None, shared) for i in range(1000)] + [(i, f"short {i}") for i in range(1999)] + [(-1, other)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    decoded = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN, chunk=100, overlap=20), RANKS).collect()
+    assert Counter((r["doc_id"], bytes(r["decoded"]).decode()) for r in decoded) == Counter(rows)
+
+
 def test_text_encoder_equals_library():
     library, own = Tokenizer.from_file(FILE), packing.text_encoder(FILE)
     for text in [*texts(), "", " ", "x <|endoftext|>y"]:
