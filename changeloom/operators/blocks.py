@@ -19,11 +19,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from copy import copy
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .joins import hot_keys
 
 Key = str | Column
@@ -217,6 +219,35 @@ def row_index(
     return counted.withColumn(out, F.col(out) + F.lit(start - 1))
 
 
+# ``monotonically_increasing_id`` holds the partition above so many bits, the row's place in it below.
+PLACE_BITS = 33
+
+
+def range_index(df: DataFrame, order: Sequence[str], out: str = "row_index", start: int = 0) -> DataFrame:
+    """Position of each row of the whole frame along ``order``, counted from ``start``; null comes first.
+
+    Rows are range partitioned and sorted once and written to the shared folder with their place, so that they are not
+    sorted again by each plan that reads them, and equal rows keep their position.  One count per
+    partition goes through the driver.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "range-index")
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    kept = spark.read.schema(placed.schema).parquet(path)
+    part = F.shiftright("__place", PLACE_BITS)
+    counts = sorted(tuple(r) for r in kept.groupBy(part).agg(F.count(F.lit(1))).collect())
+    parts, befores, total = [], [], start
+    for number, rows in counts:
+        parts.append(number)
+        befores.append(total)
+        total += rows
+    starts = pa.table({"__part": pa.array(parts, pa.int64()), "__before": pa.array(befores, pa.int64())})
+    within = F.col("__place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    met = kept.withColumn("__part", part).join(spark.createDataFrame(starts), on="__part")
+    return met.select(*[F.col(f"`{n}`") for n in df.columns], (F.col("__before") + within).alias(out))
+
+
 def _neighbour(df, by, order, block, columns, step):
     b = _Blocked(df, by, order, block)
     picked = F.struct(*[_col(c).alias(n) for n, c in columns.items()])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.blocks import Key, range_blocks, row_index
+from ..operators.blocks import Key, range_index, row_index
 from ..operators.filters import with_condition
 from ..operators.joins import hot_key_join
 from ..schema import SIGNAL_SCHEMA
@@ -38,7 +38,8 @@ def with_chunks(
     ``key_range`` chunks hold ``size`` values of one whole-number key and are computed
     per row; ``rows`` chunks hold ``size`` rows in key order, also of a composite key,
     and need a global row number.  ``block`` cuts the key order (see
-    :mod:`changeloom.operators.blocks`); by default, parts with about equal row counts.
+    :mod:`changeloom.operators.blocks`); by default, rows are range partitioned and written once with their number.
+    ``numbered`` rows have a ``chunk_id`` already, so that planning and reading share one numbering.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     if mode == "key_range":
@@ -47,10 +48,12 @@ def with_chunks(
         lowest = df.select(F.min(keys[0]).alias("k")).scalar()
         return df.withColumn("chunk_id", chunk_number(keys[0], lowest, size))
     if mode == "rows":
-        ranked = row_index(df, [], keys, block or range_blocks(df, keys), "__rank")
+        ranked = row_index(df, [], keys, block, "__rank") if block else range_index(df, keys, "__rank")
         return ranked.withColumn(
             "chunk_id", F.floor(F.col("__rank") / F.lit(size)).cast("long")
         ).drop("__rank")
+    if mode == "numbered":
+        return df
     raise ValueError(f"unknown chunk mode {mode!r}")
 
 
@@ -68,7 +71,8 @@ def plan_chunks(
     key = F.col(pk) if isinstance(pk, str) else F.struct(*pk)
     keys = [pk] if isinstance(pk, str) else list(pk)
     end = df.select(F.max(key).alias("k")).scalar()
-    chunked = with_chunks(df.select(*keys), pk, size, mode, block)
+    held = [*keys, "chunk_id"] if mode == "numbered" else keys
+    chunked = with_chunks(df.select(*held), pk, size, mode, block)
     return chunked.groupBy("chunk_id").agg(
         F.min(key).alias("first_key"),
         F.max(key).alias("last_key"),
@@ -95,18 +99,16 @@ def stale_keys(
 ) -> DataFrame:
     """Keys and chunks whose read met a live event inside the chunk's window.
 
-    Reads are first reduced to keys that have live events at all; only those are
-    joined to the live events.  A key may hold a large share of the changes, so hot keys
+    Only reads whose window reaches into the positions of the live events are
+    joined to these.  A key may hold a large share of the changes, so hot keys
     are found first and spread.
     """
     pk = list(pk)
     narrow = live.select(*pk, F.col(position).alias("__pos"))
-    changed = narrow.select(*pk).distinct()
-    touched = (
-        reads.select(*pk, "chunk_id")
-        .join(changed, on=pk, how="left_semi")
-        .join(windows.select("chunk_id", "open_pos", "close_pos"), on="chunk_id")
-    )
+    low, high = (narrow.select(f("__pos").alias("__p")).scalar() for f in (F.min, F.max))
+    spans = windows.select("chunk_id", "open_pos", "close_pos")
+    spans = spans.where((F.col("close_pos") >= low) & (F.col("open_pos") <= high))
+    touched = reads.select(*pk, "chunk_id").join(spans, on="chunk_id")
     met = hot_key_join(narrow, touched, pk, "inner").where(
         F.col("__pos").between(F.col("open_pos"), F.col("close_pos"))
     )
@@ -139,7 +141,7 @@ def incremental_snapshot(
     ``live`` holds the changes with the key and ``position``.  Windows name the log positions between which
     each chunk was read; ``chunks`` limits the run to the chunks still to do.  Chunks are those of
     :func:`with_chunks`: key ranges of one whole-number key, or (``mode='rows'``) equal numbers of rows of any key,
-    composite or text.  A chunk without a window keeps its reads at ``BEFORE_ALL``, or fails with ``missing='raise'``.
+    composite or text, or (``mode='numbered'``) those in column ``chunk_id`` of ``df``.  A chunk without a window keeps its reads at ``BEFORE_ALL``, or fails with ``missing='raise'``.
     """
     if missing not in ("keep", "raise"):
         raise ValueError("missing is 'keep' or 'raise'")
@@ -166,7 +168,7 @@ def incremental_snapshot(
     )
     at = F.when(F.col("__close").isNotNull(), F.col("__close")).otherwise(without)
     return kept.join(closing, on="chunk_id", how="left").select(
-        *df.columns, "chunk_id", F.lit("r").alias("op"), at.alias(position)
+        *[c for c in df.columns if c != "chunk_id"], "chunk_id", F.lit("r").alias("op"), at.alias(position)
     )
 
 

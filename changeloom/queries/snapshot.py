@@ -218,9 +218,9 @@ def incremental_snapshot_composite(spark, sf):
     items = lines.groupBy(*_ITEM_KEYS).agg(F.count(F.lit(1)).alias("copies"))
     position = F.col("l_quantity").cast("long") * 1000 + F.col("l_orderkey") % 997
     live = lines.select(*_ITEM_KEYS, position.alias("lsn")).distinct()
-    chunks = I.plan_chunks(items, _ITEM_KEYS, CHUNK, "rows")
-    windows = I.sequential_windows(chunks, 200)
-    return I.incremental_snapshot(items, live, _ITEM_KEYS, CHUNK, windows, mode="rows")
+    numbered = I.with_chunks(items, _ITEM_KEYS, CHUNK, "rows")
+    windows = I.sequential_windows(I.plan_chunks(numbered, _ITEM_KEYS, CHUNK, "numbered"), 200)
+    return I.incremental_snapshot(numbered, live, _ITEM_KEYS, CHUNK, windows, mode="numbered")
 
 
 @query(f"""WITH {LIVE_SQL},
@@ -231,7 +231,7 @@ SELECT o_orderkey, o_totalprice, chunk_id FROM base b WHERE NOT EXISTS (
 def discard_stale_reads(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     reads = I.with_chunks(orders, "o_orderkey", 1_000, "rows")
-    chunks = I.plan_chunks(orders, "o_orderkey", 1_000, "rows")
+    chunks = I.plan_chunks(reads, "o_orderkey", 1_000, "numbered")
     windows = I.sequential_windows(chunks, WINDOW)
     return I.discard_stale_reads(reads, live_changes(spark, sf), windows, ["o_orderkey"])
 

@@ -141,3 +141,17 @@ def test_super_blocks_carry_everything(spark, monkeypatch, bits):
         found = B.previous(found, by, ["k"], block, {"p": "k"})
         found = B.following(found, by, ["k"], block, {"f": "k"})
         assert {r.k: (r.n, r.s, r.p, r.f) for r in found.collect()} == want
+
+
+def test_range_index_numbers_composite_keys_once(spark):
+    keys = [(None, 1), (1, None), (1, 2), (1, 2), (2, 1), (2, 3), (1 << 40, 0)]
+    data = spark.createDataFrame(keys * 40, "a long, b long").repartition(7)
+    numbered = B.range_index(data, ["a", "b"], "n", start=5)
+    got = sorted((tuple(r) for r in numbered.collect()), key=lambda r: r[2])
+    assert [r[2] for r in got] == list(range(5, 5 + len(keys) * 40))
+    order = [tuple(-1 if x is None else x for x in r[:2]) for r in got]
+    assert order == sorted(order)
+    # The numbers are written, so plans that read them hold neither windows nor sketches.
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "percentile_approx" not in plan
+    assert B.range_index(data.where("a < 0"), ["a"], "n").count() == 0

@@ -302,3 +302,20 @@ def test_counts_and_differences(spark):
     ]
     assert {r.table: r.inflation for r in U.log_inflation(counts).collect()} == {"a": 1.5, "b": 0.0, "c": None}
     assert rows(U.row_difference(src, log)) == [("a", 2, -1), ("b", 1, 1), ("c", 1, -1)]
+
+
+def test_plan_and_reads_share_one_numbering(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("a"), (F.col("id") * 3).alias("b"), F.lit("x").alias("c"))
+    live = spark.createDataFrame([(0, 0, 5), (1, 3, 5), (6, 18, 900_000)], "a long, b long, lsn long")
+    numbered = I.with_chunks(df, ["a", "b"], 50, "rows")
+    windows = I.sequential_windows(I.plan_chunks(numbered, ["a", "b"], 50, "numbered"), 10)
+    got = I.incremental_snapshot(numbered, live, ["a", "b"], 50, windows, mode="numbered")
+    twice = I.sequential_windows(I.plan_chunks(df, ["a", "b"], 50, "rows"), 10)
+    other = I.incremental_snapshot(df, live, ["a", "b"], 50, twice, mode="rows")
+    assert got.columns == other.columns == ["a", "b", "c", "chunk_id", "op", "lsn"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, other.collect()))
+    # Only the first key's chunk is open at position 5; the last event lies beyond all windows.
+    assert got.count() == 999
+    # Planning does not read the frame a second time.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "percentile_approx" not in plan
