@@ -1,7 +1,8 @@
 """Chunked backfill as a stream: reads wait until the window of their chunk closes.
 
 One log carries snapshot reads, live changes and the markers that open and close the window of a chunk.  Its
-rows may arrive in any order, as they do from several partitions or files.  All rows are staged by chunk.  A batch settles
+rows may arrive in any order, as they do from several partitions or files.  All rows are staged by chunk, in a fixed number of
+folders, so that files do not multiply with the chunks.  A batch settles
 every chunk it brings rows of, as soon as both edges of the window are known; when rows of a settled chunk arrive
 later, the chunk is settled again from all its rows, and readers use its last settlement.
 """
@@ -14,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import hot_key_join
-from ..plans.incremental import discard_stale_reads
 
-# Chunks per staging directory: settling a chunk reads only its directory.
+# Staging folders of a batch, and neighbouring chunks that share one: settling a chunk reads only its folder.
+BUCKETS = 64
 CHUNKS_PER_BUCKET = 64
 KINDS = ("read", "live", "open", "close")
 
@@ -31,12 +32,12 @@ def settle_batch(
 ) -> None:
     """Stage one micro-batch, then write its live changes and the chunks it settles.
 
-    All directories are per batch and replaced on a retry.
+    All directories are per batch and replaced on a retry.  The windows to settle are written first: a table of one row per
+    chunk, whose size Spark then knows, that meets reads and live changes without another pass over them.
     """
     spark = batch.sparkSession
-    placed = batch.withColumn(
-        "bucket", F.floor(F.col("chunk_id") / F.lit(CHUNKS_PER_BUCKET)).cast("long")
-    )
+    group = F.floor(F.col("chunk_id") / F.lit(CHUNKS_PER_BUCKET))
+    placed = batch.withColumn("bucket", F.pmod(group, F.lit(BUCKETS)).cast("long"))
     placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{staging}/batch_id={batch_id}")
 
     # From here on the staged files are read, so the source is read once per batch.
@@ -44,18 +45,21 @@ def settle_batch(
     current = staged.where(F.col("batch_id") == batch_id)
     chunk = ["bucket", "chunk_id"]
     touched = current.select(*chunk).distinct()
-    concerned = hot_key_join(staged, touched, chunk, "left_semi")
-    windows = _closed(concerned, position)
-    settled_chunks = windows.select("chunk_id")
-    reads = hot_key_join(concerned.where(F.col("kind") == "read"), windows, chunk, "inner")
-    live = concerned.where(F.col("kind") == "live").select(*pk, position)
-    kept = discard_stale_reads(reads, live, windows, pk, position)
+    path = f"{target}/windows/batch_id={batch_id}"
+    found = _closed(staged, position).join(touched, chunk, "left_semi")
+    found.write.mode("overwrite").parquet(path)
+    windows = spark.read.schema(found.schema).parquet(path)
+    reads = staged.where(F.col("kind") == "read").join(windows, chunk)
+    # A live change names the chunk of its key, so its chunk's window says whether it makes a read stale.
+    live = staged.where(F.col("kind") == "live").select(*chunk, *pk, position).join(windows, chunk)
+    stale = live.where(F.col(position).between(F.col("open_pos"), F.col("close_pos"))).select(*chunk, *pk).distinct()
+    kept = reads.join(stale, [*chunk, *pk], "left_anti")
     settled = kept.withColumn(position, F.col("close_pos")).select(*batch.columns).drop("kind")
     settled.write.mode("overwrite").parquet(f"{target}/settled/batch_id={batch_id}")
     changes = current.where(F.col("kind") == "live").select(*batch.columns).drop("kind", "chunk_id")
     changes.write.mode("overwrite").parquet(f"{target}/live/batch_id={batch_id}")
     # Last, so that a chunk counts as settled by this batch once its reads are there.
-    settled_chunks.write.mode("overwrite").parquet(f"{target}/versions/batch_id={batch_id}")
+    windows.select("chunk_id").write.mode("overwrite").parquet(f"{target}/versions/batch_id={batch_id}")
 
 
 def _closed(staged: DataFrame, position: str) -> DataFrame:

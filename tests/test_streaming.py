@@ -249,3 +249,18 @@ def test_progress_lag():
         lastProgress = type("P", (), {"sources": [Source()]})()
 
     assert K.progress_lag(Query()) == [("t", 0, 3), ("t", 1, 4)]
+
+
+def test_staging_folders_do_not_grow_with_the_chunks(spark, tmp_path):
+    schema = "kind string, chunk_id long, pk long, lsn long, op string, v long"
+    staging, target = str(tmp_path / "staging"), str(tmp_path / "out")
+    chunks = [n * 64 for n in range(100)]
+    events = [e for c in chunks for e in (("open", c, None, c * 10, None, None), ("read", c, c, c * 10, "r", 1), ("read", c, c + 1, c * 10, "r", 1))]
+    events += [("live", c, c, c * 10 + c % 128 // 64 * 50, "u", 2) for c in chunks]
+    events += [("close", c, None, c * 10 + 9, None, None) for c in chunks]
+    K.backfill.settle_batch(spark.createDataFrame(events, schema).coalesce(1), 0, staging, target, ["pk"])
+    assert len([f for f in (tmp_path / "staging" / "batch_id=0").iterdir() if f.name.startswith("bucket=")]) <= K.backfill.BUCKETS
+    # Every second change lies behind its window and leaves the read as it is.
+    want = [(c, c * 10 + 9, "r") for c in chunks if c % 128] + [(c + 1, c * 10 + 9, "r") for c in chunks]
+    want += [(c, c * 10 + c % 128 // 64 * 50, "u") for c in chunks]
+    assert sorted(map(tuple, K.backfilled(spark, target).select("pk", "lsn", "op").collect())) == sorted(want)
