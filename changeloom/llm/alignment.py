@@ -1,6 +1,6 @@
 """Alignment of two tokenizers over the same bytes, and which of their ids stand for each other in a corpus.
 
-Both tokenizers' tokens end somewhere in the text's bytes.  A dictionary from end to index is kept for each; the ends in both, sorted,
+Both tokenizers' tokens end somewhere in the text's bytes.  A table from byte end to index is kept for each; the ends in both
 cut the two lists of ids into groups, and inside a group every id of one side is linked to every id of the other.  Pairs of linked ids
 are counted by documents; each document's links are then measured by these counts.
 """
@@ -65,16 +65,18 @@ class Aligner:
             same = self.decode_a(a) == expected and b"".join([self.bytes_b[i] for i in b]) == expected
             yield tuple(np.array(array("I", ids), np.int64) for ids in (a, b)) if same else (none, none)
 
-    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    def cuts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of A's and of B's tokens up to each end that both share."""
-        end_a = dict(zip(np.cumsum(self.length_a[a]).tolist(), range(1, len(a) + 1)))
-        end_b = dict(zip(np.cumsum(self.length_b[b]).tolist(), range(1, len(b) + 1)))
-        common = sorted(end_a.keys() & end_b.keys())
-        return [end_a[e] for e in common], [end_b[e] for e in common]
-
-    def links(self, a: np.ndarray, b: np.ndarray, cut_a: list[int], cut_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        size = max(end_a[-1] if len(a) else 0, end_b[-1] if len(b) else 0) + 1
+        upto_a, upto_b = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        # Of tokens without bytes, which repeat an end, the last one counts.
+        upto_a[end_a], upto_b[end_b] = np.arange(1, len(a) + 1), np.arange(1, len(b) + 1)
+        common = np.flatnonzero((upto_a > 0) & (upto_b > 0))
+        return upto_a[common], upto_b[common]
+
+    def links(self, a: np.ndarray, b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct linked pairs, as ``a * size_b + b`` in rising order, and how many links each has."""
-        stop_a, stop_b = np.array(cut_a, np.int64), np.array(cut_b, np.int64)
         start_a, start_b = (np.concatenate(([0], s[:-1])) if len(s) else s for s in (stop_a, stop_b))
         wide_a, wide_b = stop_a - start_a, stop_b - start_b
         count = wide_a * wide_b
@@ -96,9 +98,8 @@ class Aligner:
             keys, times = both, sums
         return keys, times
 
-    def written(self, a: np.ndarray, b: np.ndarray, cut_a: list[int], cut_b: list[int]) -> bytes:
+    def written(self, a: np.ndarray, b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> bytes:
         """Groups as text: ids of A, a bar, ids of B; groups are parted by semicolons."""
-        stop_a, stop_b = np.array(cut_a, np.int64), np.array(cut_b, np.int64)
         ids, marks = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
         # A token stands behind all tokens of earlier groups, and one of B also behind its own group's of A.
         ids[np.arange(len(a)) + np.repeat(np.concatenate(([0], stop_b[:-1])), np.diff(stop_a, prepend=0))] = a

@@ -100,3 +100,18 @@ def test_large_groups_put_equal_ids_together(monkeypatch):
     for i, x, j, y in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b):
         expected.update(int(p) * both.size_b + int(q) for p in a[i:x] for q in b[j:y])
     assert dict(zip(*map(np.ndarray.tolist, plain))) == expected
+
+
+def test_cuts_are_arrays_and_take_the_last_of_tokens_without_bytes():
+    made = alignment.Aligner.__new__(alignment.Aligner)
+    made.length_a, made.length_b = np.array([0, 1, 2, 3]), np.array([0, 1, 2, 3])
+    cut_a, cut_b = made.cuts(np.array([2, 0, 3, 1]), np.array([1, 1, 0, 0, 2, 2]))
+    assert isinstance(cut_a, np.ndarray) and (cut_a.tolist(), cut_b.tolist()) == ([2, 4], [4, 6])
+    none = np.empty(0, np.int64)
+    assert [len(c) for c in made.cuts(none, none)] == [0, 0]
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = rng.integers(0, 4, 40), rng.integers(0, 4, 40)
+        ends = [dict(zip(np.cumsum(x).tolist(), range(1, 41))) for x in (a, b)]
+        common = sorted(ends[0].keys() & ends[1].keys())
+        assert [c.tolist() for c in made.cuts(a, b)] == [[e[c] for c in common] for e in ends]
