@@ -80,8 +80,8 @@ def temporary() -> Iterator[_Tables]:
                 pass
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table to the shared folder and read it back.
+def stored(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
+    """Write a table to the shared folder and read it back; ``codec`` is the compression of its files.
 
     This cuts the lineage: the loss of an executor after this point costs a read, not the
     work before it, and rows that depend on the order of a shuffle are fixed.
@@ -89,5 +89,5 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, f"llm-{label}")
     if _open_scopes:
         _open_scopes[-1].paths.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -35,8 +35,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _keyed(docs: DataFrame, label: str) -> DataFrame:
-    """The documents with ``row``, a number of each row that stays the same however often they are read."""
-    return stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), label)
+    """The documents with ``row``, a number of each row that stays the same however often they are read.
+
+    These copies stay while later stages run, so they are compressed more than other tables.
+    """
+    return stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), label, "zstd")
 
 
 def _place() -> Column:
