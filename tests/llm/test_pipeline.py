@@ -70,3 +70,9 @@ def test_run_on_nothing(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_copies_of_rows_are_compressed_more(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "s", 3)], "doc_id long, text string, lang string, source string, n_chars long")
+    found = corpus_pipeline._keyed(docs, "compressed")
+    assert all(f.endswith(".zstd.parquet") for f in found.inputFiles()) and found.count() == 1
