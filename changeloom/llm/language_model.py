@@ -11,15 +11,15 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored, words_of
+from .common import stored
 
 # Sizes of the model: words it tells apart, classes, state.  All further words share one output; which of them it is follows
 # their counts.
@@ -35,7 +35,8 @@ WINDOW = 32
 ROUNDS = 3
 RATE = 0.01
 SMOOTH = 0.5
-COUNTED_AT_ONCE = 300_000
+# Bytes of text that are split into words at a time; the last text may go beyond.
+SPLIT_AT_ONCE = 1 << 23
 CHUNK = 1 << 13
 SLOTS = 256
 
@@ -70,81 +71,126 @@ class Network:
         return made
 
     def forward(self, tokens: np.ndarray, begins: np.ndarray, state: np.ndarray):
-        """States after reading each row of ``tokens`` (steps x lanes); ``begins`` marks texts that start there."""
+        """States after reading each row of ``tokens`` (steps x lanes); ``begins`` marks texts that start there.
+
+        Inside, lanes are the last axis: gates are whole blocks of memory then, and each step runs over long rows.
+        """
         steps, lanes = tokens.shape
-        states, kept = np.empty((steps + 1, lanes, STATE), np.float32), []
-        states[0] = state
-        gates = self.wx[tokens]
+        states = np.empty((steps + 1, STATE, lanes), np.float32)
+        states[0] = state.T
+        # The first two gates with their signs turned, for 1 / (1 + exp(-x)).
+        read, wh = np.take(self.wx, tokens, axis=0).transpose(0, 2, 1), np.ascontiguousarray(self.wh.T)
+        gates, from_h = np.empty((steps, 3 * STATE, lanes), wh.dtype), np.empty((steps, 3 * STATE, lanes), wh.dtype)
+        np.negative(read[:, : 2 * STATE], out=gates[:, : 2 * STATE])
+        gates[:, 2 * STATE :] = read[:, 2 * STATE :]
+        wh[: 2 * STATE] *= -1
+        before, going = np.empty((steps, STATE, lanes), np.float32), (~begins).astype(np.float32)
         for t in range(steps):
-            h = states[t] * ~begins[t][:, None]
-            from_h = h @ self.wh
-            zr = 1 / (1 + np.exp(-(gates[t, :, : 2 * STATE] + from_h[:, : 2 * STATE])))
-            z, r = zr[:, :STATE], zr[:, STATE:]
-            n = np.tanh(gates[t, :, 2 * STATE :] + r * from_h[:, 2 * STATE :])
-            states[t + 1] = n + z * (h - n)
-            kept.append((h, from_h[:, 2 * STATE :], z, r, n))
-        return states, kept
-
-    def backward(self, grad: Network, tokens: np.ndarray, begins: np.ndarray, kept: list, d_states: np.ndarray) -> None:
+            h = np.multiply(states[t], going[t], out=before[t])
+            np.matmul(wh, h, out=from_h[t])
+            zr, n = gates[t, : 2 * STATE], gates[t, 2 * STATE :]
+            zr += from_h[t, : 2 * STATE]
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
+            n += zr[STATE:] * from_h[t, 2 * STATE :]
+            np.tanh(n, out=n)
+            after = np.subtract(h, n, out=states[t + 1], casting="same_kind")
+            after *= zr[:STATE]
+            after += n
+        return states.transpose(0, 2, 1), (before, from_h[:, 2 * STATE :], gates)
+
+    def backward(self, grad: Network, tokens: np.ndarray, begins: np.ndarray, kept: tuple, d_states: np.ndarray) -> None:
         """Add the gradient of the recurrent part, given the gradients of the states after each step."""
         steps, lanes = tokens.shape
-        d_gates = np.empty((steps, lanes, 3 * STATE), np.float32)
-        d_from_h = np.empty_like(d_gates)
-        carried = np.zeros((lanes, STATE), np.float32)
+        before, u, gates = kept
+        z, r, n = (gates[:, i * STATE : (i + 1) * STATE] for i in range(3))
+        # What the gradient of a state is multiplied by: for the last gate, the first two, and the last one's part that is read from h.
+        factors = np.empty((steps, 4, STATE, lanes), np.float32)
+        rest = 1 - z
+        factors[:, 0] = rest * (1 - n * n)
+        factors[:, 1] = (before - n) * z * rest
+        factors[:, 3] = factors[:, 0] * r
+        factors[:, 2] = factors[:, 3] * u * (1 - r)
+        d_after, going = np.ascontiguousarray(d_states.transpose(0, 2, 1)), (~begins).astype(np.float32)
+        carried = np.zeros((STATE, lanes), np.float32)
         for t in range(steps - 1, -1, -1):
-            h, u, z, r, n = kept[t]
-            dh = d_states[t] + carried
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (h - n) * z * (1 - z)
-            dr = dn * u * r * (1 - r)
-            d_gates[t, :, :STATE], d_gates[t, :, STATE : 2 * STATE], d_gates[t, :, 2 * STATE :] = dz, dr, dn
-            d_from_h[t] = d_gates[t]
-            d_from_h[t, :, 2 * STATE :] *= r
-            carried = (d_from_h[t] @ self.wh.T + dh * z) * ~begins[t][:, None]
-        before = np.concatenate([k[0] for k in kept])
-        grad.wh[...] += before.T @ d_from_h.reshape(-1, 3 * STATE)
-        flat, order = tokens.ravel(), np.argsort(tokens.ravel(), kind="stable")
-        heads = np.flatnonzero(np.concatenate(([True], np.diff(flat[order]) != 0)))
-        grad.wx[flat[order][heads]] += np.add.reduceat(d_gates.reshape(-1, 3 * STATE)[order], heads, axis=0)
+            dh = carried
+            dh += d_after[t]
+            factors[t] *= dh
+            carried = self.wh @ factors[t, 1:].reshape(3 * STATE, lanes)
+            carried += dh * z[t]
+            carried *= going[t]
+        rows = np.ascontiguousarray(factors.reshape(steps, 4 * STATE, lanes).transpose(0, 2, 1)).reshape(-1, 4 * STATE)
+        grad.wh[...] += before.transpose(0, 2, 1).reshape(-1, STATE).T @ rows[:, STATE:]
+        order = np.argsort(tokens.ravel().astype(np.uint16), kind="stable")
+        flat = tokens.ravel()[order]
+        heads = np.flatnonzero(np.concatenate(([True], np.diff(flat) != 0)))
+        sums = np.add.reduceat(np.take(rows[:, : 3 * STATE], order, axis=0), heads, axis=0)
+        grad.wx[flat[heads]] += np.concatenate((sums[:, STATE:], sums[:, :STATE]), axis=1)
 
     def outputs(self, states: np.ndarray, targets: np.ndarray, grad: Network | None = None, scale: float = 1.0):
         """Natural log-probabilities of ``targets``; with ``grad`` also the gradient with respect to ``states`` of
-        minus their sum times ``scale``."""
-        word_class = np.where(targets < WORDS, targets // CLASS_SIZE, CLASSES)
-        rows = np.arange(len(targets))
-        logits = states @ self.wc + self.bc
-        logits -= logits.max(1, keepdims=True)
-        chance = np.exp(logits)
-        total = chance.sum(1)
-        found = logits[rows, word_class] - np.log(total)
-        d_states = None
+        minus their sum times ``scale``.
+
+        Targets are taken in order, so that a class is one range of rows; the biases are weights of a column of ones.
+        """
+        order = np.argsort(targets.astype(np.uint16), kind="stable")
+        targets = targets[order]
+        # WORDS, any other word, comes after the last class.
+        word_class = targets // CLASS_SIZE
+        seen = np.ones((len(order), STATE + 1), states.dtype)
+        np.take(states, order, axis=0, out=seen[:, :STATE])
+        of_class = np.concatenate((self.wc, self.bc[None]))
+        chance = seen @ of_class
+        logs, d_seen = _chances(chance, word_class, None if grad is None else scale), None
+        if grad is not None:
+            change = seen.T @ chance
+            grad.wc[...] += change[:STATE]
+            grad.bc[...] += change[STATE]
+            d_seen = chance @ self.wc.T
+        edges = np.searchsorted(word_class, np.arange(CLASSES + 1)).tolist()
+        present = [c for c in range(CLASSES) if edges[c] < edges[c + 1]]
+        of_word = np.concatenate((self.wo, self.bo[:, None]), axis=1)
+        words = np.empty((edges[CLASSES], CLASS_SIZE), chance.dtype)
+        for c in present:
+            a, b = edges[c], edges[c + 1]
+            np.matmul(seen[a:b], of_word[c], out=words[a:b])
+        logs[: len(words)] += _chances(words, targets[: len(words)] % CLASS_SIZE, None if grad is None else scale)
+        found, d_states = np.empty_like(logs), None
+        found[order] = logs
         if grad is not None:
-            chance *= (scale / total)[:, None]
-            chance[rows, word_class] -= scale
-            grad.wc[...] += states.T @ chance
-            grad.bc[...] += chance.sum(0)
-            d_states = chance @ self.wc.T
-        order = np.argsort(word_class, kind="stable")
-        edges = np.searchsorted(word_class[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[edges[c] : edges[c + 1]]
-            if not len(at):
-                continue
-            own, mine = targets[at] - c * CLASS_SIZE, np.arange(len(at))
-            inside = states[at] @ self.wo[c] + self.bo[c]
-            inside -= inside.max(1, keepdims=True)
-            chance = np.exp(inside)
-            total = chance.sum(1)
-            found[at] += inside[mine, own] - np.log(total)
-            if grad is not None:
-                chance *= (scale / total)[:, None]
-                chance[mine, own] -= scale
-                grad.wo[c] += states[at].T @ chance
-                grad.bo[c] += chance.sum(0)
-                d_states[at] += chance @ self.wo[c].T
+            for c in present:
+                a, b = edges[c], edges[c + 1]
+                change = seen[a:b].T @ words[a:b]
+                grad.wo[c] += change[:STATE]
+                grad.bo[c] += change[STATE]
+                d_seen[a:b] += words[a:b] @ self.wo[c].T
+            d_states = np.empty(states.shape, d_seen.dtype)
+            d_states[order] = d_seen
         return found, d_states
 
 
+# Values whose exponentials, and sums of some of these, are numbers of 32 bits.
+EXPONENTS = 70.0
+
+
+def _chances(logits: np.ndarray, columns: np.ndarray, scale: float | None) -> np.ndarray:
+    """Logs of the chances that the rows of ``logits`` give to ``columns``; with ``scale`` the logits become the gradients of minus
+    the sum of these logs times ``scale``."""
+    if logits.size and max(logits.max(), -logits.min()) > EXPONENTS:
+        logits -= logits.max(1, keepdims=True)
+    rows = np.arange(len(columns))
+    found = logits[rows, columns]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    found -= np.log(total)
+    if scale is not None:
+        logits *= (scale / total)[:, None]
+        logits[rows, columns] -= scale
+    return found
+
+
 def in_lanes(texts: list[np.ndarray], lanes: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Windows of texts laid end to end in lanes of about equal length: inputs, targets, begins, text numbers (-1 past the end).
 
@@ -198,15 +244,14 @@ def train_on(network: Network, texts: list[np.ndarray], memory: dict) -> int:
         d_states = np.zeros_like(flat)
         _, d_states[real] = network.outputs(flat[real], targets.ravel()[real], grad, 1 / count)
         network.backward(grad, inputs, begins, kept, d_states.reshape(states[1:].shape))
-        grad.flat *= min(1.0, 1.0 / max(float(np.linalg.norm(grad.flat)), 1e-9))
+        clip = min(1.0, 1.0 / max(float(np.linalg.norm(grad.flat)), 1e-9))
         memory["step"] += 1
         # Adam with moments 0.9 and 0.99, in place.
+        grad.flat *= 0.1 * clip
         first *= 0.9
-        np.multiply(grad.flat, 0.1, out=change)
-        first += change
+        first += grad.flat
         second *= 0.99
         np.multiply(grad.flat, grad.flat, out=change)
-        change *= 0.01
         second += change
         np.sqrt(second, out=change)
         change += 1e-7
@@ -231,24 +276,40 @@ def score_texts(network: Network, texts: list[np.ndarray]) -> np.ndarray:
     return found
 
 
+def by_size(found: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Parts of the batches of about SPLIT_AT_ONCE bytes in column ``name``."""
+    for batch in found:
+        sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        before = (np.cumsum(sizes) - sizes) // SPLIT_AT_ONCE
+        edges = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            if a < b:
+                yield batch.slice(a, b - a)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """What ``words_of`` gives for a column of texts: distinct words, the place of each occurrence among them, and where texts end.
+
+    There may be distinct words that do not occur.
+    """
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = found.flatten()
+    # Gaps at the ends of a text leave empty words.
+    real = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    ends = np.concatenate(([0], np.cumsum(real)))[found.offsets.to_numpy()[1:] - found.offsets[0].as_py()]
+    coded = flat.dictionary_encode()
+    return coded.dictionary.cast(pa.binary()), coded.indices.to_numpy()[real], ends
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, n`` over all words of column ``text``, added up in tasks before the exchange."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def rows() -> pa.RecordBatch:
-            columns = [pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, ["word", "n"])
-
-        for batch in found:
-            for text in batch.column(0):
-                held.update(words_of(text.as_py()))
-                if len(held) >= COUNTED_AT_ONCE:
-                    yield rows()
-                    held.clear()
-        if held:
-            yield rows()
+        for part in by_size(found):
+            words, places, _ = split_words(part.column(0))
+            n = np.bincount(places, minlength=len(words))
+            occur = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([words.take(pa.array(occur)), pa.array(n[occur], pa.int64())], ["word", "n"])
 
     counted = texts.select("text").mapInArrow(batches, "word binary, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -257,7 +318,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 class Vocabulary:
     """Counts the tasks know: of the ``HEAD`` most frequent words, and sums over all words."""
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, tokens: int, distinct: int, texts: int):
+    def __init__(self, words: pa.Array, counts: np.ndarray, tokens: int, distinct: int, texts: int):
         self.words, self.counts, self.tokens, self.distinct, self.texts = words, counts, tokens, distinct, texts
         self.logs = np.log10(counts + SMOOTH)
         known = min(len(words), WORDS - 1)
@@ -266,16 +327,10 @@ class Vocabulary:
         self.model_counts[1 : known + 1] = counts[:known]
         self.other_tokens = tokens - int(self.model_counts.sum())
         self.other_distinct = max(0, distinct - known - (texts > 0))
-        self._index: dict[bytes, int] | None = None
-
-    def __getstate__(self):
-        return self.__dict__ | {"_index": None}
 
-    def places(self, words: list[bytes]) -> np.ndarray:
+    def places(self, words: pa.Array) -> np.ndarray:
         """Ranks of words by frequency, -1 outside the head."""
-        if self._index is None:
-            self._index = dict(zip(self.words, range(len(self.words))))
-        return np.fromiter(map(self._index.get, words, repeat(-1)), np.int32, len(words))
+        return pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
 
     @staticmethod
     def tokens_of(places: np.ndarray) -> np.ndarray:
@@ -307,7 +362,7 @@ def vocabulary_of(docs: DataFrame) -> tuple[Vocabulary, DataFrame]:
     # A table of at most HEAD words reaches the driver, whatever the input.
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD).toArrow()
     found = Vocabulary(
-        head.column("word").to_pylist(), head.column("n").to_numpy().astype(np.float64), words + texts, distinct + (texts > 0), texts
+        head.column("word").combine_chunks(), head.column("n").to_numpy().astype(np.float64), words + texts, distinct + (texts > 0), texts
     )
     return found, counts
 
@@ -326,27 +381,26 @@ def encoded(rows: DataFrame, known) -> DataFrame:
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = known.value
-        for part in slices(found):
+        for part in by_size(found):
             facts, tokens, rare, times, ends = [], [], [], [], [0]
-            for text in part.column("text"):
-                words = words_of(text.as_py())
-                places = vocabulary.places(words)
+            distinct, occurring, stops = split_words(part.column("text"))
+            ranks = vocabulary.places(distinct)
+            for own in np.split(occurring, stops[:-1]):
+                places = ranks[own]
                 inside = places[places >= 0]
                 other = inside[inside >= WORDS - 1]
                 facts.append((len(places) + 1, len(inside), vocabulary.logs[inside].sum(), vocabulary.logs[other].sum(), len(other)))
                 tokens.append(vocabulary.tokens_of(places).astype(np.uint16).tobytes())
                 if len(inside) < len(places):
-                    held = Counter([words[j] for j in np.flatnonzero(places < 0).tolist()])
+                    held = Counter(own[places < 0].tolist())
                     rare += held.keys()
                     times += held.values()
                 ends.append(len(rare))
-            if not facts:
-                continue
             at = pa.array(ends, pa.int32())
             kinds_of = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
             made = [pa.array(x, kind) for x, kind in zip(zip(*facts), kinds_of)]
             made.append(pa.array(tokens, pa.binary()))
-            made += [pa.ListArray.from_arrays(at, pa.array(rare, pa.binary())), pa.ListArray.from_arrays(at, pa.array(times, pa.int64()))]
+            made += [pa.ListArray.from_arrays(at, distinct.take(pa.array(rare, pa.int64()))), pa.ListArray.from_arrays(at, pa.array(times, pa.int64()))]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kinds), *made], names)
 
     return rows.select(*kinds, "text").mapInArrow(batches, shape)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,3 +287,40 @@ def test_windows_take_memory_by_tokens_not_by_the_longest_text():
     assert all(np.array_equal(np.concatenate([*r, []]), t) for r, t in zip(read, texts))
     # Dense steps x lanes would take 400,000 x 512 x 9 bytes.
     assert peak < 100 * 400_000
+
+
+def test_columns_of_texts_are_split_like_single_texts(monkeypatch):
+    """All white space and letters that only some functions change; a slice of a column, and parts of it by size."""
+    texts = [None, "", " \t\n\x0b\x0c\r", "  a B  a ", "Ünï A\u00a0b \u2003c", "x\x1cy\x85z İ ẞ", "\x00 q\x00", None, "one", "a" * 50 + " a"]
+    monkeypatch.setattr(language_model, "SPLIT_AT_ONCE", 40)
+    whole = pa.record_batch({"text": pa.array(["zz", *texts])}).slice(1)
+    parts = [p.column("text") for p in language_model.by_size([whole, whole.slice(0, 0)])]
+    assert len(parts) > 1 and [t for p in parts for t in p.to_pylist()] == texts
+    for part in (*parts, whole.column("text"), whole.column("text").slice(0, 2)):
+        words, places, ends = language_model.split_words(part)
+        found = [[words[int(j)].as_py() for j in own] for own in np.split(places, ends[:-1])]
+        assert found == [words_of(t) for t in part.to_pylist()]
+
+
+def test_outputs_of_any_size_are_a_distribution():
+    """Logits beyond the numbers whose exponentials are finite, and gradients of states against the definition."""
+    net, rng = network(), np.random.default_rng(9)
+    states = rng.normal(0, 1, (6, language_model.STATE))
+    targets = np.array([0, 70, language_model.WORDS, 5, language_model.WORDS - 1, 70])
+    for size in (1.0, 400.0):
+        net.flat *= size / max(1.0, np.abs(net.flat).max())
+        logs, d_states = net.outputs(states, targets, language_model.Network(np.zeros_like(net.flat)), 0.5)
+        for i, target in enumerate(targets.tolist()):
+            place = min(target // language_model.CLASS_SIZE, language_model.CLASSES)
+            steps = [(net.wc, net.bc, place)]
+            if place < language_model.CLASSES:
+                steps.append((net.wo[place], net.bo[place], target % language_model.CLASS_SIZE))
+            want, slope = 0.0, 0.0
+            for weights, bias, at in steps:
+                logits = states[i] @ weights + bias
+                chances = np.exp(logits - logits.max())
+                chances /= chances.sum()
+                want += logits[at] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+                slope = slope + weights @ (chances - np.eye(len(chances))[at]) * 0.5
+            assert abs(logs[i] - want) < 1e-6 * max(1, abs(want))
+            assert np.allclose(d_states[i], slope, atol=1e-6 * size)
