@@ -99,17 +99,17 @@ def _sketches(texts: DataFrame, shingle: int) -> DataFrame:
 
 
 def _buckets(texts: DataFrame, shingle: int, bands: int, depth: int) -> DataFrame:
-    """``id, size, key`` per text and band, of rows ``id, text``."""
+    """``id, size, keys`` per text, with a key for each band, of rows ``id, text``."""
 
     def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(found, TEXTS_AT_ONCE):
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column(1)]
             keys = np.concatenate([band_keys(s, bands, depth) for s in sets]) if sets else np.empty(0, np.uint64)
-            ids = np.repeat(batch.column(0).to_numpy(), bands)
-            sizes = np.repeat(np.array([len(s) for s in sets], np.int64), bands)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes), pa.array(keys.view(np.int64))], ["id", "size", "key"])
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, bands), pa.int32()), pa.array(keys.view(np.int64)))
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, lists], ["id", "size", "keys"])
 
-    return texts.mapInArrow(batches, "id bigint, size bigint, key bigint")
+    return texts.mapInArrow(batches, "id bigint, size bigint, keys array<bigint>")
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
@@ -157,11 +157,19 @@ def _ordered(a: str, b: str) -> list:
 
 
 def _named(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``rows`` with ``root``, the group of ``id``."""
-    met = hot_key_join(rows, groups.withColumnRenamed("node", "id").hint("merge"), ["id"], "left")
+    """``rows``, one per text, with ``root``, the group of ``id``.
+
+    A text is named once and not once for each of its buckets: those are as many as there are bands.
+    """
+    met = rows.join(groups.withColumnRenamed("node", "id").hint("merge"), "id", "left")
     return met.withColumn("root", F.coalesce("root", "id"))
 
 
+def _by_bucket(texts: DataFrame) -> DataFrame:
+    """``id, size, key, root`` for each key of rows ``id, size, keys, root``."""
+    return texts.select("id", "size", F.explode("keys").alias("key"), "root")
+
+
 class _Search:
     """Groups found so far, and the pairs that were compared for them."""
 
@@ -195,7 +203,7 @@ class _Search:
     def buckets(self, texts: DataFrame, bands: int, depth: int, more: DataFrame | None = None) -> DataFrame | None:
         """Compare texts that agree in a band, and pairs ``more``; return ``id, size, key, root`` of large buckets still in several groups."""
         keys = stored(_buckets(texts, self.shingle, bands, depth), "near-keys")
-        keys = keys.withColumn("root", F.col("id")) if self.groups is None else stored(_named(keys, self.groups), "near-keys")
+        keys = _by_bucket(keys.withColumn("root", F.col("id")) if self.groups is None else stored(_named(keys, self.groups), "near-keys"))
         counts = keys.groupBy("key").agg(
             F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min(F.struct("id", "size", "root")).alias("pivot")
         )
@@ -210,7 +218,8 @@ class _Search:
         self.compare(pairs if more is None else pairs.union(more))
         large = large.select("id", "size", "key")
         for turn in range(PIVOT_ROUNDS):
-            named = _named(large, self.groups)
+            listed = large.groupBy("id", "size").agg(F.collect_list("key").alias("keys"))
+            named = _by_bucket(stored(_named(listed, self.groups), "near-named"))
             open_ = named.groupBy("key").agg(
                 F.min("root").alias("low"), F.max("root").alias("high"),
                 F.min(F.struct(F.xxhash64("root", F.lit(turn)), F.xxhash64("id", F.lit(turn)), "id", "size", "root")).alias("pivot"),

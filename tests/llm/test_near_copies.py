@@ -121,3 +121,20 @@ def test_rows_that_share_an_identifier_stay_apart(spark):
         docs = corpus_pipeline.stored(stage(spark, docs, ""), "test-shared")
         got = sorted((r["doc_id"] or 0, r["text"], r["lang"], r["source"]) for r in docs.collect())
         assert got == sorted([(0, texts[0], "en", "a"), (1, texts[1], "en", "c"), (7, texts[2], "fr", "d"), (7, texts[3], "es", "e")])
+
+
+def test_texts_are_named_once_for_all_their_buckets(spark, monkeypatch):
+    """A large family beside texts that share half of it: its buckets stay open through both levels."""
+    rng, named = random.Random(7), []
+    plain = near_copies._named
+
+    def counted(rows, groups):
+        named.append((rows.count(), rows.select("id").distinct().count()))
+        return plain(rows, groups)
+
+    monkeypatch.setattr(near_copies, "_named", counted)
+    base = prose(rng, 120)
+    texts = [changed(rng, base, 1) for _ in range(30)]
+    texts += [changed(rng, base, rng.randint(4, 6)) for _ in range(30)]
+    assert groups(spark, texts) == roots(texts)
+    assert len(named) >= 3 and all(rows == ids <= len(texts) for rows, ids in named)
