@@ -30,6 +30,8 @@ SMALL = 4
 PIVOT_ROUNDS = 2
 # Tasks over which the pairs of a text, or of a bucket, that is frequent are spread; what they meet is copied so often.
 SPREAD = 32
+# Of a bucket whose texts are all compared, so many meet the whole bucket in one task; a piece of fewer would only copy the bucket more often.
+BUCKET_PIECE = 1 << 10
 # Identifiers that are broadcast to pick out texts: at most so many numbers, some megabytes.
 HELD_IDS = 1 << 18
 # Differing bits up to which the Gray-order index takes fingerprints together.
@@ -242,7 +244,7 @@ class _Search:
         a, b = (large.select("key", *[F.col(c).alias(c + x) for c in large.columns if c != "key"]) for x in "ab")
         differ = sum(F.bit_count(F.col(f"word{i}a").bitwiseXOR(F.col(f"word{i}b"))) for i in range(SKETCH_WORDS))
         near = (F.col("ida") < F.col("idb")) & (F.col("roota") != F.col("rootb")) & (differ <= SKETCH_BITS) & self.alike("sizea", "sizeb")
-        met = hot_key_join(a, b.hint("merge"), ["key"], "inner", SPREAD).where(near)
+        met = hot_key_join(a, b.hint("merge"), ["key"], "inner", SPREAD, BUCKET_PIECE).where(near)
         self.compare(met.select(F.col("ida").alias("u"), F.col("idb").alias("v")))
 
 

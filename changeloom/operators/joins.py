@@ -44,10 +44,13 @@ def salted_join(
 HOT_SHARE = 256
 HOT_SALTS = 1_024
 TRACKED_PER_HOT_KEY = 5
+# A hot key is cut into pieces of about this share of the rows, but of no fewer rows than the second number.
+PIECE_SHARE = 1_024
+PIECE_ROWS = 64
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> Column:
-    """Hashes of the keys with at least ``1/share`` of all rows, as a scalar subquery.
+def _frequent(df: DataFrame, on: Sequence[str], share: int) -> tuple[DataFrame, Column]:
+    """One row with ``n``, the number of rows, and a column of hashes and counts of the keys with at least ``1/share`` of them.
 
     One narrow pass with a frequent-items sketch of fixed size.  The sketch only
     decides how rows are spread, so a missed or a wrong key cannot change a result.
@@ -56,30 +59,47 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> Column
     tracked = share * TRACKED_PER_HOT_KEY
     sketch = F.expr(f"approx_top_k(xxhash64({names}), {share}, {tracked})")
     found = df.select(sketch.alias("top"), F.count(F.lit(1)).alias("n"))
-    frequent = F.filter("top", lambda t: t.getField("count") * share >= F.col("n"))
+    return found, F.filter("top", lambda t: t.getField("count") * share >= F.col("n"))
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> Column:
+    """Hashes of the keys with at least ``1/share`` of all rows, as a scalar subquery."""
+    found, frequent = _frequent(df, on, share)
     return found.select(F.transform(frequent, lambda t: t.getField("item"))).scalar()
 
 
+def hot_pieces(df: DataFrame, on: Sequence[str], salts: int, piece_rows: int = PIECE_ROWS) -> Column:
+    """Hashes of the hot keys and the number of pieces, at most ``salts``, into which each is cut, as a scalar subquery.
+
+    The numbers follow the rows of the keys, so all of them together are no more than ``PIECE_SHARE`` and one for each
+    hot key, and far fewer for a small table, in which every key has a large share of the rows.
+    """
+    found, frequent = _frequent(df, on, HOT_SHARE)
+
+    def pieces(t: Column) -> Column:
+        n = t.getField("count")
+        return F.least(F.lit(salts), F.ceil(n * PIECE_SHARE / F.col("n")), F.ceil(n / piece_rows)).cast("int")
+
+    cut = F.transform(frequent, lambda t: F.struct(t.getField("item").alias("item"), pieces(t).alias("pieces")))
+    return found.select(F.map_from_entries(F.filter(cut, lambda t: t.getField("pieces") > 1))).scalar()
+
+
 def hot_key_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, salts: int = HOT_SALTS
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, salts: int = HOT_SALTS, piece_rows: int = PIECE_ROWS
 ) -> DataFrame:
     """Join a side with hot keys (``left``) to a side that may be large itself.
 
-    Left rows of hot keys are spread over ``salts`` tasks by their input partition,
-    and only the right rows of those keys are copied.
+    Left rows of hot keys are spread over up to ``salts`` tasks by their input partition,
+    and only the right rows of those keys are copied, once for each piece of the key.
+    No piece is made for fewer than ``piece_rows`` rows.
     """
     _check_side(how)
-    hot = hot_keys(left, on)
+    hot = hot_pieces(left, on, salts, piece_rows)
     # Equal keys of different types hash differently, so both sides use the left types.
     alike = [F.col(c).try_cast(left.schema[c].dataType) for c in on]
-    spread = left.withColumn(
-        "__salt",
-        F.when(F.array_contains(hot, F.xxhash64(*on)), F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0)),
-    )
-    copies = F.when(
-        F.array_contains(hot, F.xxhash64(*alike)), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    copied = right.withColumn("__salt", F.explode(copies))
+    own, other = (F.coalesce(F.try_element_at(hot, F.xxhash64(*keys)), F.lit(1)) for keys in (on, alike))
+    spread = left.withColumn("__salt", F.pmod(F.spark_partition_id(), own))
+    copied = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), other - 1)))
     return spread.join(copied, on=[*on, "__salt"], how=how).drop("__salt")
 
 

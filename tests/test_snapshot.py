@@ -114,6 +114,34 @@ def test_hot_keys_are_found(spark):
     assert none == []
 
 
+def copied_rows(monkeypatch, left, right, **more):
+    """Rows of both sides as they meet in a hot-key join."""
+    sides, plain = [], type(left).join
+
+    def counted(a, b, *args, **kwargs):
+        sides.extend([a, b])
+        return plain(a, b, *args, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(left), "join", counted)
+        got = rows(J.hot_key_join(left, right, ["k"], "inner", **more))
+    assert got == rows(left.join(right, "k"))
+    return sides
+
+
+def test_copies_for_hot_keys_follow_their_rows(spark, monkeypatch):
+    """In a small table every key has a large share of the rows; a hot key of a large one is cut by its share."""
+    few = spark.range(0, 50, 1, 4).select(F.col("id").alias("k"))
+    _, right = copied_rows(monkeypatch, few, few.withColumn("w", F.col("k") + 1))
+    assert right.count() == 50
+    many = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 300).alias("k"))
+    left, right = copied_rows(monkeypatch, many, many.distinct().withColumn("w", F.col("k") + 1))
+    assert left.where("k = -1").select("__salt").distinct().count() == 8
+    assert right.count() <= 151 + 20_000 // J.PIECE_ROWS + 300
+    _, right = copied_rows(monkeypatch, many, many.distinct().withColumn("w", F.col("k") + 1), piece_rows=5_000)
+    assert right.count() <= 151 + 4
+
+
 @pytest.mark.parametrize("mode,block", [("key_range", []), ("rows", [long_block]), ("rows", [])])
 def test_chunks_cover_the_table(source, mode, block):
     blocks = [b("id", 5) for b in block]
